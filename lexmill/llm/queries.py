@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import copies, lookalikes, packing, split, tokens
+from lexmill.llm import copies, lookalikes, packing, residue, split, tokens
 from lexmill.shared import cut, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,14 @@ def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(tokens.count_tokens(table(spark, sf_dir, "documents")))
 
 
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residue.residue(table(spark, sf_dir, "documents")).select("doc_id")
+
+
+def p10_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residue.content(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1].isdigit() and callable(v)}
 

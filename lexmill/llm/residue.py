@@ -1,0 +1,126 @@
+"""Template residue, filler, error pages and script notices in place of content.
+
+Numbers, addresses, dates and request marks of a text are masked and the masked messages are grouped by
+their exact hash over all sources, so that a message is judged once however often it recurs. The phrase rules
+take a message apart into sentences: it is residue if each sentence is a known kind of notice or its usual
+company (navigation, reference marks, advice to retry) and at least one is such a notice. A message that
+recurs in several sources may hold one foreign sentence. Slots of templates are found by their spelling
+in texts of any length; a slot that is spoken of (in an explanation) or used (in a script) is none.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+#: Only messages up to this length are taken apart; notices are short, and slots are looked for in all texts.
+MESSAGE_CHARS = 1500
+#: A message is widely recurring from so many sources on.
+SOURCES = 3
+
+# Phrases of notices, as regular expressions over lower-case masked sentences.
+_NOTICES = [
+    # scripts and cookies
+    r"(javascript|java script|cookies?) (is|are|has been|must be|needs? to be) (disabled|turned off|required|enabled|blocked)",
+    r"(enable|activate|allow|turn on|accept) (javascript|java script|scripts?|cookies?)", r"turn on (cookies|scripts|them)", r"turn them on",
+    r"(viewer|page|site|app|application|portal|website) (needs|requires) (scripts?|javascript|cookies)", r"(needs|requires) (scripts|javascript|cookies)",
+    r"(включите|разрешите|активируйте) (javascript|java script|скрипты|сценарии|cookies?|куки)",
+    r"(требуется|необходима|нужна|требуются) (поддержка|включ\w+)? ?(javascript|скриптов|сценариев|cookies?|скрипты|куки)",
+    r"браузер не (выполняет|поддерживает) (сценарии|скрипты|javascript|cookies?)", r"(javascript|скрипты|сценарии|cookies?|куки) (отключ|выключ|заблокир)\w+",
+    # error pages
+    r"^(http )?(error )?#+ ?[-—:.]* ?(not found|forbidden|bad gateway|service unavailable|internal server error|gateway time-?out|unauthorized|bad request|method not allowed|too many requests|gone)",
+    r"^(not found|forbidden|bad gateway|service (temporarily )?unavailable|internal server error|gateway time-?out|access denied|too many requests|page not found)",
+    r"^(страница|файл|документ|ресурс) не найден[аоы]?$", r"^доступ (запрещ[её]н|закрыт|ограничен)", r"сервис (временно )?недоступен", r"внутренняя ошибка сервера",
+    r"сеанс (ист[её]к|заверш[её]н)", r"запрошенн\w+ (файл|страница|документ|ресурс)\w* (удал|не найд|перемещ)\w+", r"слишком много запросов", r"запрос (отклон|заблокир)\w+",
+    r"проверка (вашего )?браузера", r"^checking your browser", r"traceback: ", r"template error", r"undefined variable", r"не удалось сформировать страницу", r"rendering stopped",
+    r"you do not have permission", r"(upstream|server) did not (reply|respond)", r"requested (document|page|url|file|resource) (does not exist|was not found|could not be found)", r"^session (has )?expired",
+    # filler
+    r"lorem ipsum", r"текст-заполнитель", r"^образец текста$", r"^здесь будет (текст|содержание|описание)", r"^(раздел|страница|документ|сайт) (находится )?в разработке$", r"описание уточняется", r"заполнить позднее",
+    r"^текст появится позже$", r"^todo\b", r"^tbd\b", r"^(sample|placeholder|dummy|filler) text", r"^under construction", r"^coming soon", r"^(рыба|рыбный текст)",
+]
+_COMPANY = [
+    r"^[#@№:\s.,!—|/-]*$", r"^(ref|ray|request|код|id|№)( id| обращения)?:? *[#@\w-]*$", r"request id [#@]+$", r"^(home|search|contacts|главная|поиск|контакты|назад|back|help|помощь|войти|login)( *[|/·•-] *\w+)*$",
+    r"вернитесь на главную", r"обратитесь к администратору", r"проверьте адрес", r"повторите попытку", r"обновите страницу", r"reload", r"try again", r"код обращения", r"^ошибка #+", r"узел #+", r"подождите", r"войдите снова",
+    r"some parts cannot be shown", r"страница не может быть показана", r"before opening", r"go back", r"contact (the|your) administrator",
+]
+NOTICE, COMPANY = "|".join(f"(?:{p})" for p in _NOTICES), "|".join(f"(?:{p})" for p in _COMPANY)
+
+# Spellings of template slots.
+_NAME = r"[\p{L}_][\p{L}\p{N}_.]*"
+_SLOTS = [
+    rf"\{{\{{ *{_NAME} *\}}\}}", rf"\$\{{{_NAME}\}}", rf"@@{_NAME}@@", rf"(?<![\p{{L}}\p{{N}}%])%[\p{{L}}_]{{3,}}%(?![\p{{L}}\p{{N}}%])", rf"(?<![\p{{L}}\p{{N}}{{$#\"':\[])\{{{_NAME}\}}(?!\}})",
+    rf"<%=? *{_NAME} *%>", rf"\{{% *{_NAME}[^%]*%\}}", rf"#\{{{_NAME}\}}", rf"\[\[ *{_NAME} *\]\]",
+    r"<<? ?(?:[А-ЯЁ]{2,}(?: [А-ЯЁ]+)*|[A-Z]{3,}(?:[ _][A-Z]+)+|(?i:ваш|ваша|укажите|вставьте|вставить|введите|your|insert)(?: [\p{L}]+)+) ?>>?",
+    r"#(?:[А-ЯЁ]{2,}(?: [А-ЯЁ]+)*|[A-Z]{3,}(?:[ _][A-Z]+)+|(?i:ваш|ваша|укажите|вставьте|вставить|введите|your|insert)(?: [\p{L}]+)+)#",
+    r"\[ ?(?:[А-ЯЁ]{2,}(?: [А-ЯЁ]+)+|[A-Z]{3,}(?:[ _][A-Z]+)+|(?i:ваш|ваша|укажите|вставьте|вставить|введите|your|insert)(?: [\p{L}]+)+) ?\]",
+]
+SLOT = "|".join(f"(?:{p})" for p in _SLOTS)
+#: Sentences that explain slots, and script lines that use them.
+SPOKEN = r"(?im)^[^\n.!?]*\b(?:например|вида|обозначают|обозначает|подстановк\w+|синтаксис\w*|for example|such as|e\.g\.|denotes?|stands? for|placeholders?|syntax)\b[^\n!?]*?(?=[.!?](?:\s|$)|\n|$)"
+SCRIPT = r"(?m)(?:^|(?<=\s))(?:export \w+=|for \w+ in |echo |set |if \[ |while |curl |\$ )[^\n]*"
+# Words that running English or Russian text does not do without.
+_FUNCTION_WORDS = r"(?i)\b(the|of|is|are|an|and|for|to|in|on|with|by|from|at|or|that|this|и|в|на|с|для|не|по|к|при|из)\b"
+
+
+def masked(text: Column) -> Column:
+    """A text with numbers, dates, addresses and request marks masked, in lower case with single spaces."""
+    steps = [
+        (r"(?i)\b(?:https?://|www\.)\S+|\b[\w.+-]+@[\w-]+\.\w+", "@"),
+        (r"(?i)\b(?=[0-9a-f-]*[0-9])(?=[0-9a-f-]*[a-f])[0-9a-f-]{4,}\b", "#"),
+        (r"\d+(?:[.:,/-]\d+)*", "#"),
+        (r"'[^'\n]{1,40}'", "'@'"),
+        (r"[\s 　]+", " "),
+    ]
+    return F.lower(F.trim(reduce(lambda c, s: F.regexp_replace(c, *s), steps, text)))
+
+
+def _sentences(message: Column) -> Column:
+    cut = F.regexp_replace(message, r"((?:[.!?…](?=\s|$|№|ref|ray|главная|home))|\s(?:[|/—])\s|(?<=\p{L})(?=№ ?#)|,? (?=главная / |home \| ))\s*", "\u0001")
+    return F.filter(F.transform(F.split(cut, "\u0001"), lambda s: F.regexp_replace(s, r"^[\s.!?…,;:—|/]+|[\s.!?…,;:—|/]+$", "")), lambda s: s != "")
+
+
+def notice(message: Column, widely: Column) -> Column:
+    """Whether a masked message is a notice: nothing but notices and their company, and some notice."""
+    parts = _sentences(message)
+    hits = F.size(F.filter(parts, lambda s: s.rlike(NOTICE)))
+    foreign = F.size(F.filter(parts, lambda s: ~s.rlike(NOTICE) & ~s.rlike(COMPANY)))
+    return (hits > 0) & ((foreign == 0) | (widely & (foreign == 1) & (hits >= foreign)))
+
+
+def slots_left(text: Column) -> Column:
+    """Whether a text has unfilled slots that are neither explained nor part of a script."""
+    bare = F.regexp_replace(F.regexp_replace(text, SCRIPT, " "), SPOKEN, " ")
+    return text.rlike(r"[\[{<%@#]") & bare.rlike(SLOT)
+
+
+def pseudo_words(text: Column) -> Column:
+    """Whether a text is filler of invented words: Latin words only, none of the words a language needs, few of them ever new."""
+    words = F.split(F.lower(F.regexp_replace(text, r"[^A-Za-z]+", " ")), " ")
+    shape = text.rlike(r"^[A-Za-z\s.,;!?-]{60,}$") & ~text.rlike(_FUNCTION_WORDS)
+    return shape & (F.size(words) >= 12) & (F.size(F.array_distinct(words)) < F.size(words) * 0.7)
+
+
+def residue(docs: DataFrame) -> DataFrame:
+    """``(doc_id, reason)`` of the documents that hold no content, each id once.
+
+    ``reason`` is ``slots``, ``filler`` or ``notice``. Null, empty and blank texts are no case. A null source
+    counts as a source of its own; repeated rows are judged alike; a null id is left out.
+    """
+    docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"))
+    docs = docs.where("doc_id is not null").where(F.col("text").rlike(r"[^\s ]"))
+    short = docs.where(F.length("text") <= MESSAGE_CHARS).select("doc_id", "source", masked(F.col("text")).alias("message"))
+    short = short.select("doc_id", "source", "message", F.xxhash64("message").alias("h1"), F.hash("message").alias("h2"))
+    by_source = short.groupBy("h1", "h2", "source").agg(F.first("message").alias("message"))
+    judged = by_source.groupBy("h1", "h2").agg(F.first("message").alias("message"), F.count("*").alias("sources"))
+    judged = judged.where(notice(F.col("message"), F.col("sources") >= SOURCES)).select("h1", "h2")
+    notices = short.join(judged, ["h1", "h2"], "left_semi").select("doc_id", F.lit("notice").alias("reason"))
+    marked = docs.select("doc_id", F.when(slots_left(F.col("text")), "slots").when(pseudo_words(F.col("text")), "filler").alias("reason")).where("reason is not null")
+    return marked.unionByName(notices).groupBy("doc_id").agg(F.max("reason").alias("reason"))
+
+
+def content(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without residue, all columns kept; null, empty and blank texts stay."""
+    found = residue(docs).select(F.col("doc_id").alias("_residue_id"))
+    return docs.join(found, docs["doc_id"] == found["_residue_id"], "left_anti")
