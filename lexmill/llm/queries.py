@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import copies, lookalikes, packing, residue, split, tokens
+from lexmill.llm import copies, lookalikes, packing, residue, split, tokens, truncation
 from lexmill.shared import cut, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,22 @@ def _tagged(df: DataFrame, name: str) -> DataFrame:
     return df.select(F.lit(name).alias("source_table"), "*")
 
 
+def _field_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation.field_texts(table(spark, sf_dir, "terms"), table(spark, sf_dir, "registry"))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation.truncated(_field_texts(spark, sf_dir)).select(F.col("field").alias("source_table"), "row_id")
+
+
+def p1_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation.shares(_field_texts(spark, sf_dir))
+
+
+def p1_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation.limits(_field_texts(spark, sf_dir).where(F.col("text").rlike(r"\S")).select("field", "source", "text"))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.split_pages(table(spark, sf_dir, "ocr_pages")).where("piece_no = 1").select("doc_id", "page_number").distinct()
 
