@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import copies, lookalikes, packing, residue, split, tokens, truncation
+from lexmill.llm import copies, lookalikes, packing, residue, scans, split, tokens, truncation
 from lexmill.shared import cut, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,18 @@ def p2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.split_pages(table(spark, sf_dir, "ocr_pages"))
 
 
+def _scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.values(table(spark, sf_dir, "terms"), table(spark, sf_dir, "abbreviations"), table(spark, sf_dir, "ocr_pages"))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.defects(_scanned(spark, sf_dir))
+
+
+def p4_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.repaired(_scanned(spark, sf_dir))
+
+
 _COPY_FIELDS = {"terms": ("term", "definition"), "abbreviations": ("short_form", "full_form")}
 
 
