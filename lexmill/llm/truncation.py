@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lexmill.shared import cut
+
 #: Rate of false discoveries among the significant lengths of a source.
 FDR = 0.01
 #: Lengths on either side that a hazard is tested against.
@@ -84,13 +86,18 @@ def truncated(texts: DataFrame) -> DataFrame:
         F.when(i > 1, F.element_at("t", (i - 1).cast("int"))).otherwise("").alias("prev"), F.element_at("t", i.cast("int")).alias("tok"), F.try_element_at("t", (i + 1).cast("int")).alias("next")))).alias("g"))
     grams = grams.where(F.col("g.tok").rlike(word)).select("field", "g.prev", "g.tok", F.col("g.next").isin(".", ";", "!", "?").cast("int").alias("ends"), F.col("g.next").isNull().cast("int").alias("final"))
     pairs = grams.groupBy("field", "prev", "tok").agg(F.sum(1 - F.col("final")).alias("pair_n"), F.sum("ends").alias("pair_ends"), F.sum("final").alias("pair_final"))
+    pairs = cut(pairs, "pairs")
     words = pairs.groupBy("field", "tok").agg(F.sum("pair_n").alias("word_n"), F.sum("pair_ends").alias("word_ends"))
     # rows whose ending has to be looked at
     clean = F.col("clean")
     closed = clean.rlike(r"[.!?;][\"»”')\]]*$|\.\p{L}{2,4}$") & ~clean.rlike(_ABBREVIATIONS)
     tail = F.when(F.length(clean) > 160, F.substring(clean, -160, 160)).otherwise(clean)
-    doubtful = texts.where(~closed).withColumn("tail", _tokens(tail))
-    doubtful = doubtful.withColumn("at_word", clean.rlike(r"[\p{L}\p{M}\p{N}]$")).withColumn("tok", F.try_element_at("tail", F.lit(-1))).withColumn("prev", F.coalesce(F.try_element_at("tail", F.lit(-2)), F.lit("")))
+    size_of = {"chars": F.length("text"), "bytes": F.octet_length(F.regexp_replace("text", "\ufffd+$", "")) + F.col("text").endswith("\ufffd").cast("int")}
+    brackets = F.length(F.regexp_replace(clean, r"[^(]", "")) > F.length(F.regexp_replace(clean, r"[^)]", ""))
+    doubtful = cut(texts.where(~closed).select("field", "row_id", "source", *(v.alias(k) for k, v in size_of.items()), brackets.alias("brackets"), tail.alias("clean")), "doubtful")
+    doubtful = doubtful.withColumn("tail", _tokens(clean))
+    doubtful = doubtful.withColumn("at_word", clean.rlike(r"[\p{L}\p{M}\p{N}]$")).withColumn("tok", F.try_element_at("tail", F.lit(-1))).withColumn("prev", F.coalesce(F.try_element_at("tail", F.lit(-2)), F.lit(""))).drop("tail")
+    sizes = doubtful.select("field", "row_id", "source", F.explode(F.create_map(F.lit("chars"), "chars", F.lit("bytes"), "bytes")).alias("unit", "size"))
     capital = F.regexp_extract(clean, r"([\p{L}\p{M}]+)$", 1).rlike(r"^\p{Lu}\p{Ll}")
     doubtful = doubtful.withColumn("suffix", F.when(capital & (F.length("tok") > 4), F.substring(F.col("tok"), -3, 3)))
     doubtful = doubtful.join(words, ["field", "tok"], "left").join(pairs, ["field", "prev", "tok"], "left")
@@ -99,8 +106,6 @@ def truncated(texts: DataFrame) -> DataFrame:
     names = names.withColumn("suffix_share", F.col("suffix_n") / F.sum("suffix_n").over(W.partitionBy("field")))
     doubtful = doubtful.join(names.select("field", "suffix", "suffix_share"), ["field", "suffix"], "left")
     lim = limits(texts.select("field", "source", "text"))
-    sizes = doubtful.select("field", "row_id", "source", F.length("text").alias("chars"), (F.octet_length(F.regexp_replace("text", "\ufffd+$", "")) + F.col("text").endswith("\ufffd").cast("int")).alias("bytes"))
-    sizes = sizes.select("field", "row_id", "source", F.explode(F.create_map(F.lit("chars"), "chars", F.lit("bytes"), "bytes")).alias("unit", "size"))
     own = sizes.join(lim.where("not whole").select("field", "source", "unit", "size"), ["field", "source", "unit", "size"], "left_semi")
     all_ = sizes.join(lim.where("whole").select("field", "unit", "size"), ["field", "unit", "size"], "left_semi")
     at_limit = own.select("field", "row_id").union(all_.select("field", "row_id")).distinct().withColumn("limit", F.lit(True))
@@ -113,7 +118,7 @@ def truncated(texts: DataFrame) -> DataFrame:
     fragment = at_word & rare & ~number & (n < 3) & (F.col("suffix").isNull() | (F.coalesce("suffix_share", F.lit(0.0)) < 0.004)) & ~clean.rlike(r"\p{N}\p{L}+$|\p{Lu}{2,}$|\p{IsLatin}\p{IsCyrillic}+$|\p{IsCyrillic}\p{IsLatin}+$")
     goes_on = ((pn >= 12) & (pends == 0) & (ends < n * 0.04)) | ((pn >= 80) & (pends < pn * 0.003)) | ((n >= 40) & (ends <= n * 0.006) & (pends <= pn * 0.05))
     dangling = at_word & rare & ~capital & (n >= 3) & goes_on
-    open_ = (F.length(F.regexp_replace("clean", r"[^(]", "")) > F.length(F.regexp_replace("clean", r"[^)]", ""))) | clean.rlike(r"[(\[«“„/,—–:-]$")
+    open_ = F.col("brackets") | clean.rlike(r"[(\[«“„/,—–:-]$")
     mark = clean.rlike("(?:\ufffd|(?<=[\\p{L}\\p{N} (,])(?:…|\\.\\.\\.))$")
     why = F.when(F.col("limit") & ~clean.rlike(r"[»”)]$"), "limit").when(mark, "mark").when(open_, "open").when(dangling, "dangling").when(fragment, "fragment")
     return doubtful.withColumn("why", why).where("why is not null").groupBy("field", "row_id").agg(F.first("source").alias("source"), F.min("why").alias("why"))
