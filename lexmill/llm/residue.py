@@ -46,6 +46,8 @@ _COMPANY = [
     r"some parts cannot be shown", r"страница не может быть показана", r"before opening", r"go back", r"contact (the|your) administrator",
 ]
 NOTICE, COMPANY = "|".join(f"(?:{p})" for p in _NOTICES), "|".join(f"(?:{p})" for p in _COMPANY)
+#: Whether any notice may stand somewhere in a message; looked for at the beginnings of words only.
+_ANY_NOTICE = r"(?<![\p{L}\p{N}])(?:" + "|".join(f"(?:{p.removeprefix('^').removesuffix('$')})" for p in _NOTICES) + ")"
 
 # Spellings of template slots.
 _NAME = r"[\p{L}_][\p{L}\p{N}_.]*"
@@ -111,6 +113,7 @@ def residue(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"))
     docs = docs.where("doc_id is not null").where(F.col("text").rlike(r"[^\s ]"))
     short = docs.where(F.length("text") <= MESSAGE_CHARS).select("doc_id", "source", masked(F.col("text")).alias("message"))
+    short = short.where(F.col("message").rlike(_ANY_NOTICE))
     short = short.select("doc_id", "source", "message", F.xxhash64("message").alias("h1"), F.hash("message").alias("h2"))
     by_source = short.groupBy("h1", "h2", "source").agg(F.first("message").alias("message"))
     judged = by_source.groupBy("h1", "h2").agg(F.first("message").alias("message"), F.count("*").alias("sources"))
