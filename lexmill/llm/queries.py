@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import copies, lookalikes, packing, residue, scans, split, tokens, truncation
+from lexmill.llm import copies, lookalikes, mojibake, packing, residue, scans, split, tokens, truncation
 from lexmill.shared import cut, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,14 @@ def p2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.split_pages(table(spark, sf_dir, "ocr_pages"))
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mojibake.restore(mojibake.name_values(table(spark, sf_dir, "registry"))).select("id", "field_name")
+
+
+def p3_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mojibake.restore(mojibake.name_values(table(spark, sf_dir, "registry")))
+
+
 def _scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scans.values(table(spark, sf_dir, "terms"), table(spark, sf_dir, "abbreviations"), table(spark, sf_dir, "ocr_pages"))
 
