@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import copies, lookalikes, mojibake, packing, residue, scans, split, tokens, truncation
+from lexmill.llm import copies, lookalikes, mojibake, packing, residue, scans, split, tokens, truncation, versions
 from lexmill.shared import cut, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +91,20 @@ def p6_consistent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _per_table(spark, sf_dir, lookalikes.consistent_form, _FORM_FIELDS)
 
 
+def _versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    terms, abbreviations = table(spark, sf_dir, "terms"), table(spark, sf_dir, "abbreviations")
+    a = terms.select(F.lit("terms").alias("source_table"), "id", F.col("definition").alias("value"))
+    return a.unionByName(abbreviations.select(F.lit("abbreviations").alias("source_table"), "id", F.col("full_form").alias("value")))
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return versions.version_pairs(_versioned(spark, sf_dir))
+
+
+def p7_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return versions.version_groups(_versioned(spark, sf_dir))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_corpus(table(spark, sf_dir, "documents"))
 
