@@ -110,40 +110,41 @@ def _variants(batches: Iterator[pd.DataFrame], frequent, threshold: float, widen
             continue
         at = np.concatenate(rows)
         yield pd.DataFrame({
-            "source_table": batch["source_table"].to_numpy()[at], "key": np.concatenate(keys).view(np.int64), "cid": batch["cid"].to_numpy()[at],
+            "tab": batch["tab"].to_numpy()[at], "key": np.concatenate(keys).view(np.int64), "cid": batch["cid"].to_numpy()[at],
             "n": np.array(n_of, dtype=np.int32)[at], "sig": np.array(sig_of, dtype=np.int64)[at],
         })
 
 
 def _meet(variants: DataFrame, threshold: float) -> DataFrame:
     """Pairs of classes that share a variant and pass the filters, each once."""
-    a = variants.select("source_table", "key", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"))
-    b = variants.select("source_table", "key", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb"))
-    met = a.join(b, ["source_table", "key"]).where("a < b")
+    a = variants.select("tab", "key", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"))
+    b = variants.select("tab", "key", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb"))
+    met = a.join(b, ["tab", "key"]).where("a < b")
     met = met.where((F.col("na") >= F.col("nb") * (threshold - 1e-9)) & (F.col("nb") >= F.col("na") * (threshold - 1e-9)))
     # words that differ: at most (1 - t) / (1 + t) of the sum of sizes; each differing bit needs one of its own
     apart = F.floor((F.col("na") + F.col("nb")) * ((1 - threshold) / (1 + threshold)) + 1e-9)
-    return met.where(F.bit_count(F.col("sa").bitwiseXOR(F.col("sb"))) <= apart).select("source_table", "a", "b").distinct()
+    return met.where(F.bit_count(F.col("sa").bitwiseXOR(F.col("sb"))) <= apart).select("tab", "a", "b").distinct()
 
 
 def similar(reps: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``(source_table, a, b)``, a < b: the pairs of different classes that are similar."""
     sent = reps.sparkSession.sparkContext.broadcast(_frequent(reps))
-    schema = "source_table string, key bigint, cid bigint, n int, sig bigint"
-    plain = reps.select("source_table", "cid", "words")
+    schema = "tab bigint, key bigint, cid bigint, n int, sig bigint"
+    reps = reps.withColumn("tab", F.xxhash64("source_table"))
+    plain = reps.select("tab", "cid", "words")
     variants = plain.mapInPandas(lambda batches: _variants(batches, sent.value, threshold, 1), schema)
     # variants of one class only are the most; they are gone before the pairs are made
-    held = variants.withColumn("part", F.lit(1)).groupBy("source_table", "key").agg(F.count("*").alias("held")).where("held > 1")
-    met = cut(variants.join(held, ["source_table", "key"]).select("source_table", "key", "cid", "n", "sig", "held"), "variants")
+    held = variants.withColumn("part", F.lit(1)).groupBy("tab", "key").agg(F.count("*").alias("held")).where("held > 1")
+    met = cut(variants.join(held, ["tab", "key"]).select("tab", "key", "cid", "n", "sig", "held"), "variants")
     pairs = _meet(met.where(F.col("held") <= CROWD), threshold)
-    crowded = met.where(F.col("held") > CROWD).select("source_table", "cid").distinct()
-    again = plain.join(crowded, ["source_table", "cid"], "left_semi")
+    crowded = met.where(F.col("held") > CROWD).select("tab", "cid").distinct()
+    again = plain.join(crowded, ["tab", "cid"], "left_semi")
     wide = again.mapInPandas(lambda batches: _variants(batches, sent.value, threshold, 2), schema)
     pairs = pairs.unionByName(_meet(wide, threshold)).distinct()
-    words = reps.select("source_table", "cid", "k1", "words")
-    a = words.select("source_table", F.col("cid").alias("a"), F.col("k1").alias("ka"), F.col("words").alias("wa"))
-    b = words.select("source_table", F.col("cid").alias("b"), F.col("k1").alias("kb"), F.col("words").alias("wb"))
-    whole = pairs.join(a, ["source_table", "a"]).join(b, ["source_table", "b"]).where("ka <> kb")
+    words = reps.select("source_table", "tab", "cid", "k1", "words")
+    a = words.select("source_table", "tab", F.col("cid").alias("a"), F.col("k1").alias("ka"), F.col("words").alias("wa"))
+    b = words.select("tab", F.col("cid").alias("b"), F.col("k1").alias("kb"), F.col("words").alias("wb"))
+    whole = pairs.join(a, ["tab", "a"]).join(b, ["tab", "b"]).where("ka <> kb")
     both = F.size(F.array_intersect("wa", "wb"))
     either = F.size("wa") + F.size("wb") - both
     return whole.where(both >= either * (threshold - 1e-9)).select("source_table", "a", "b")
