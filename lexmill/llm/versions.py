@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.copies import letters_and_digits
+from lexmill.llm.copies import SALTS, letters_and_digits
 from lexmill.shared import cut
 
 THRESHOLD = 0.8
@@ -49,9 +49,13 @@ def classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     value = F.col("value")
     keyed = rows.where("id is not null and value is not null").select("source_table", "id", letters_and_digits(value).alias("key"), F.array_distinct(F.regexp_extract_all(F.lower(value), F.lit(r"([\p{L}\p{N}]+)"), 1)).alias("w"))
     keyed = keyed.where(F.size("w") > 0).select("source_table", "id", F.xxhash64("key").alias("k1"), F.sort_array(F.transform("w", lambda x: F.xxhash64(x))).alias("words"))
-    keyed = cut(keyed.withColumn("k2", F.xxhash64("words")), "words")
-    first = keyed.groupBy("source_table", "k1", "k2").agg(F.min("id").alias("cid"))
-    members = cut(keyed.select("source_table", "k1", "k2", "id").join(first, ["source_table", "k1", "k2"]).select("source_table", "cid", "id").distinct(), "members")
+    # a class may hold a large share of all rows: it is counted in salted parts, and its members meet the first by part
+    keyed = cut(keyed.withColumn("k2", F.xxhash64("words")).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")), "words")
+    parts = keyed.groupBy("source_table", "k1", "k2", "salt").agg(F.min("id").alias("part_first"))
+    first = parts.groupBy("source_table", "k1", "k2").agg(F.min("part_first").alias("cid"))
+    spread = parts.drop("part_first").join(first, ["source_table", "k1", "k2"])
+    members = keyed.select("source_table", "k1", "k2", "salt", "id").join(spread, ["source_table", "k1", "k2", "salt"])
+    members = cut(members.select("source_table", "cid", "id").distinct(), "members")
     reps = keyed.join(members.where("cid = id").select("source_table", "id"), ["source_table", "id"], "left_semi")
     reps = cut(reps.select("source_table", F.col("id").alias("cid"), "k1", "words").dropDuplicates(["source_table", "cid"]), "classes")
     return reps, members
