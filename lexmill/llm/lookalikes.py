@@ -51,6 +51,8 @@ _LETTERS = re.compile(r"[^\W\d_]+(?:[^\W_]*[^\W\d_])?")
 
 def _script(ch: str) -> str:
     o = ord(ch)
+    if not ch.isalpha():
+        return "?"
     if o < 0x250 or 0x1E00 <= o < 0x1F00:
         return "L"
     if 0x400 <= o < 0x530:
@@ -135,15 +137,17 @@ def _whole_words(text: str) -> str:
             continue
         if text[m.start() - 1 : m.start()] == "-" or text[m.end() : m.end() + 1] == "-":
             continue
-        for to, sure in (("C", _LATIN_SURE), ("L", _CYRILLIC_SURE)):
-            if all(x == {to} for x in rest) and set(w) <= sure:
+        for to, sure, other in (("C", _LATIN_SURE, _CYRILLIC_SURE), ("L", _CYRILLIC_SURE, _LATIN_SURE)):
+            firm = any(not set(x.group()) <= other for j, x in enumerate(words) if j != k)  # not look-alikes themselves
+            if firm and all(x == {to} for x in rest) and set(w) <= sure:
                 out = out[: m.start()] + "".join(_TO[to].get(c, c) for c in w) + out[m.end() :]
     return out
 
 
 def quick_check(value: Column) -> Column:
     """False where a value is certainly in its consistent form; words written in another alphabet count as doubtful."""
-    return value.rlike(QUICK_CHECK) | (value.rlike("[A-Za-z]") & value.rlike("[Ͱ-ӿ]"))
+    latin, greek, cyrillic = value.rlike("[A-Za-zÀ-ž]"), value.rlike("[Ͱ-Ͽ]"), value.rlike("[Ѐ-ӿ]")
+    return value.rlike(QUICK_CHECK) | (latin & (greek | cyrillic)) | (greek & cyrillic)
 
 
 def consistent_form(rows: DataFrame, id_col: str, value_col: str) -> DataFrame:

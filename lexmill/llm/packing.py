@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +24,7 @@ NEARLY_FULL = 0.998
 FAN_IN = 16
 #: Containers a partition may hand to the next round.
 CARRY = 20_000
-_SCHEMA = "part int, used int, members array<struct<doc_id:bigint,part_no:int,tokens:int>>"
+_SCHEMA = "container string, part int, used int, members array<struct<doc_id:bigint,part_no:int,tokens:int>>"
 
 
 def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
@@ -53,8 +54,8 @@ def pack(sizes: DataFrame, capacity: int = CAPACITY, nearly_full: float = NEARLY
     """``(container, doc_id, part_no, tokens, used)``: the items of ``sizes(doc_id, tokens)`` in containers.
 
     Items of 0 tokens, null sizes and null ids have no rows. An item above ``capacity`` is split into full
-    parts and a rest, numbered from 1; all others have the one part 1. ``container`` is the smallest
-    ``doc_id:part_no`` in it. Rows repeated under one id are items of their own.
+    parts and a rest, numbered from 1; all others have the one part 1. ``container`` names the round,
+    the partition and the place where it was made. Rows repeated under one id are items of their own.
     """
     cap = F.lit(capacity)
     items = (
@@ -63,10 +64,11 @@ def pack(sizes: DataFrame, capacity: int = CAPACITY, nearly_full: float = NEARLY
         .select("doc_id", F.col("tokens").alias("all"), F.explode(F.sequence(F.lit(1), F.ceil(F.col("tokens") / cap).cast("int"))).alias("part_no"))
         .select("doc_id", "part_no", F.least(cap, F.col("all") - (F.col("part_no") - 1) * cap).cast("int").alias("tokens"))
     )
-    bins = items.select(F.lit(0).alias("part"), F.col("tokens").alias("used"), F.array(F.struct("doc_id", "part_no", "tokens")).alias("members"))
+    bins = items.select(F.lit("").alias("container"), F.lit(0).alias("part"), F.col("tokens").alias("used"), F.array(F.struct("doc_id", "part_no", "tokens")).alias("members"))
 
-    def round_of(parts: int):
+    def round_of(parts: int, number: int):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            here = TaskContext.get().partitionId()
             used: list[int] = []
             members: list = []
             for batch in batches:
@@ -75,26 +77,23 @@ def pack(sizes: DataFrame, capacity: int = CAPACITY, nearly_full: float = NEARLY
             made = [(sum(used[i] for i in b), [m for i in b for m in members[i]]) for b in best_fit(used, capacity)]
             made.sort(key=lambda x: x[0])
             for at in range(0, len(made), 2000):
-                rows = [(-1 if parts == 1 or u >= nearly_full * capacity or at + k >= CARRY else 0, u, m) for k, (u, m) in enumerate(made[at : at + 2000])]
-                yield pd.DataFrame(rows, columns=["part", "used", "members"])
+                rows = [(f"{number}-{here}-{at + k}", -1 if parts == 1 or u >= nearly_full * capacity or at + k >= CARRY else 0, u, m) for k, (u, m) in enumerate(made[at : at + 2000])]
+                yield pd.DataFrame(rows, columns=["container", "part", "used", "members"])
 
         return run
 
     done: list[DataFrame] = []
-    parts, local = bins.rdd.getNumPartitions(), True
+    parts, local, number = bins.rdd.getNumPartitions(), True, 0
     while True:
         if not local:
             bins = bins.repartition(parts, F.expr("xxhash64(members[0].doc_id, members[0].part_no)"))
-        made = cut(bins.mapInPandas(round_of(parts if not local else max(parts, 2)), _SCHEMA), "bins")
+        made = cut(bins.mapInPandas(round_of(parts if not local else max(parts, 2), number), _SCHEMA), "bins")
         if parts == 1 and not local:
             done.append(made)
             break
         done.append(made.where("part = -1"))
-        bins, parts, local = made.where("part = 0"), max(1, parts // FAN_IN), False
+        bins, parts, local, number = made.where("part = 0"), max(1, parts // FAN_IN), False, number + 1
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
-    first = F.array_min("members")
-    return out.select(F.concat_ws(":", first["doc_id"], first["part_no"]).alias("container"), "used", F.explode("members").alias("m")).select(
-        "container", "m.doc_id", "m.part_no", "m.tokens", "used"
-    )
+    return out.select("container", "used", F.explode("members").alias("m")).select("container", "m.doc_id", "m.part_no", "m.tokens", "used")

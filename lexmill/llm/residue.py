@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 #: Only messages up to this length are taken apart; notices are short, and slots are looked for in all texts.
 MESSAGE_CHARS = 1500
+#: A sentence that is a notice is not longer; one that speaks of a notice mostly is.
+NOTICE_CHARS = 90
 #: A message is widely recurring from so many sources on.
 SOURCES = 3
 
@@ -86,8 +88,9 @@ def _sentences(message: Column) -> Column:
 def notice(message: Column, widely: Column) -> Column:
     """Whether a masked message is a notice: nothing but notices and their company, and some notice."""
     parts = _sentences(message)
-    hits = F.size(F.filter(parts, lambda s: s.rlike(NOTICE)))
-    foreign = F.size(F.filter(parts, lambda s: ~s.rlike(NOTICE) & ~s.rlike(COMPANY)))
+    says = lambda s: s.rlike(NOTICE) & (F.length(s) <= NOTICE_CHARS)
+    hits = F.size(F.filter(parts, says))
+    foreign = F.size(F.filter(parts, lambda s: ~says(s) & ~s.rlike(COMPANY)))
     return (hits > 0) & ((foreign == 0) | (widely & (foreign == 1) & (hits >= foreign)))
 
 

@@ -29,7 +29,7 @@ from lexmill.shared import cut
 
 THRESHOLD = 0.8
 #: A word is rare if at most so many classes hold it.
-RARE = 32
+RARE = 128
 #: Frequent words that are broadcast with their counts, the most frequent first: 12 bytes each, 12 MB at most.
 #: A word beyond them counts as rare, which costs time but loses nothing.
 WORDS = 1_000_000
