@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,3 +43,23 @@ def cut(df: DataFrame, label: str) -> DataFrame:
 def partitions(df: DataFrame, at_least: int = 8) -> int:
     """A number of partitions for a re-distribution of ``df``, from the session's setting."""
     return max(at_least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that Python workers anywhere can import it."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="lexmill-"), "lexmill.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(here):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(here)))
+    sc.addPyFile(archive)
+    _shipped.add(sc.applicationId)

@@ -68,7 +68,7 @@ def test_stop_after_header_is_content(spark):
     ("line", "pair"),
     [
         ("1. АСУ — система", ("АСУ", "система")), ("1.2. x — y", ("2. x", "y")), ("- foo - bar", ("- foo", "bar")), ("по-русски слово", ("по", "русски слово")), ("foo -", None), ("ab", None),
-        ("x  y  z", ("x", "y z")), ("a\tb", ("a", "b")), ("a b c", ("a", "b c")), ("x  y", ("x", "y")), ("- " + "f" * 81 + " - bar", None), ("12) НД: надзор", ("НД", "надзор")),
+        ("x  y  z", ("x", "y z")), ("a\tb", ("a", "b")), ("a\u00a0\u2003b c", ("a", "b c")), ("a b c", None), ("x  y", ("x", "y")), ("- " + "f" * 81 + " - bar", None), ("12) НД: надзор", ("НД", "надзор")),
     ],
 )
 def test_pair_lines(spark, line, pair):
@@ -117,7 +117,7 @@ def test_abbreviations(spark, key, looks):
 def test_extraction_ways(spark):
     docs = {
         1: [["Перечень сокращений", "АСУ — система", "НД — надзор", "Термины и определения", "узел: часть сети", "сеть: связь узлов", "Приложение"]],
-        2: [["Термины и определения", ("узел", 40, 100), ("часть сети", 300, 101), ("сеть", 40, 120), ("связь узлов", 300, 121), ("Приложение А", 40, 300)]],
+        2: [["Термины и определения", ("узел", 40, 104), ("часть сети", 300, 105), ("сеть", 40, 120), ("связь узлов", 300, 121), ("дата", 300, 200), ("Приложение А", 300, 300)]],
         3: [["АСУ — система управления", "длинный ключ строки: значение"]],
         4: [["Перечень сокращений", "АСУ — система"]],
         5: [["текст без пар"]],
