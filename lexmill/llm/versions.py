@@ -34,7 +34,7 @@ RARE = 128
 #: A word beyond them counts as rare, which costs time but loses nothing.
 WORDS = 1_000_000
 #: Words of a variant by the size of the text: up to this size (exclusive) and from this size on.
-SIZES = ((4, 0, 100), (2, 80, 1250), (1, 1000, 1 << 60))
+SIZES = ((3, 0, 100), (2, 80, 1250), (1, 1000, 1 << 60))
 #: A variant that more classes hold is refined: variants of twice as many words take its place.
 CROWD = 200
 
