@@ -75,7 +75,8 @@ def masked(text: Column) -> Column:
         (r"(?i)\b(?=[0-9a-f-]*[0-9])(?=[0-9a-f-]*[a-f])[0-9a-f-]{4,}\b", "#"),
         (r"\d+(?:[.:,/-]\d+)*", "#"),
         (r"'[^'\n]{1,40}'", "'@'"),
-        (r"[\s 　]+", " "),
+        (r"[\s\x{A0}\x{3000}]*[\r\n]+[\s\x{A0}\x{3000}]*", "\u0001"),
+        (r"[\s\x{A0}\x{3000}]+", " "),
     ]
     return F.lower(F.trim(reduce(lambda c, s: F.regexp_replace(c, *s), steps, text)))
 
@@ -114,7 +115,7 @@ def residue(docs: DataFrame) -> DataFrame:
     counts as a source of its own; repeated rows are judged alike; a null id is left out.
     """
     docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"))
-    docs = docs.where("doc_id is not null").where(F.col("text").rlike(r"[^\s ]"))
+    docs = docs.where("doc_id is not null").where(F.col("text").rlike(r"[^\s\x{A0}\x{3000}]"))
     short = docs.where(F.length("text") <= MESSAGE_CHARS).select("doc_id", "source", masked(F.col("text")).alias("message"))
     short = short.where(F.col("message").rlike(_ANY_NOTICE))
     short = short.select("doc_id", "source", "message", F.xxhash64("message").alias("h1"), F.hash("message").alias("h2"))
