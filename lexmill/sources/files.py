@@ -30,12 +30,17 @@ def safe_member(name: Column) -> Column:
 
 
 def zip_members(spark: SparkSession, folder: str, page: str = "cp866", mode: str = "compat") -> DataFrame:
-    """``zip_path, member_ord, member_name, raw_name, is_dir, safe, error, content`` of the archives in ``folder``.
+    """The members of the archives in ``folder``, as ``members_of`` gives them."""
+    return members_of(spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder), page, mode)
+
+
+def members_of(files: DataFrame, page: str = "cp866", mode: str = "compat") -> DataFrame:
+    """``zip_path, member_ord, member_name, raw_name, is_dir, safe, error, content`` of archives ``files(path, content)``.
 
     Raw names are read as cp437 and decoded anew; the UTF-8 flag is trusted only for names with Cyrillic letters.
     A broken archive is one row with ``error``; unsafe members have no content.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder).select("path", "content")
+    files = files.select("path", "content")
 
     def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = ["zip_path", "member_ord", "member_name", "raw_name", "is_dir", "error", "content"]

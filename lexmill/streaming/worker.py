@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from lexmill.functions.charset import fix_names
 from lexmill.operators import registry as R
 from lexmill.operators.extract import extract_lists, numbered
+from lexmill.operators.lines import detected_lines
+from lexmill.shared import cut, ship
+from lexmill.sources.files import members_of, scanned, unpacked_pdfs
+from lexmill.sources.recognition import detections
 
 REGISTRY = (
     "id bigint, filename string, title string, file_hash string, file_size bigint, page_count int, status string, error_message string, "
@@ -64,20 +68,20 @@ class State:
             self._fs.delete(old, True)
 
 
-def process_batch(state: State, batch: int, scanned: DataFrame, lines: DataFrame, now: Column, minutes: int = 120, mode: str = "compat") -> int:
+def process_batch(state: State, batch: int, found: DataFrame, lines: DataFrame, now: Column, minutes: int = 120, mode: str = "compat") -> int:
     """One batch: stale rows reset, the scan registered, pending documents read, their lists replaced, all logged.
 
-    ``scanned`` has the registry's columns of new files, ``lines`` their lines by ``file_hash``. A document without lines
+    ``found`` has the registry's columns of new files, ``lines`` their lines by ``file_hash``. A document without lines
     fails with a message; one that fails does not hold up others. Returns the number of documents completed.
     """
     if state.pointer()["batch"] >= batch:
         return 0
-    from lexmill.shared import cut
-
     registry = R.reset_stale(state.table("registry"), now, minutes)
-    scanned = fix_names(scanned, "title", "title_fixed", mode).drop("title").withColumnRenamed("title_fixed", "title")
-    registry = cut(R.upsert(registry, scanned, now), "registry")
-    todo = R.pending(registry).select(F.col("id").alias("doc_id"), "file_hash")
+    found = fix_names(found, "title", "title_fixed", mode).drop("title").withColumnRenamed("title_fixed", "title")
+    registry = cut(R.upsert(registry, found, now), "registry")
+    # what this batch did not bring stays as it is; it is taken up again when its file comes again
+    here = found.select("file_hash").distinct()
+    todo = R.pending(registry).select(F.col("id").alias("doc_id"), "file_hash").join(here, "file_hash", "left_semi")
     read = lines.join(todo, "file_hash").drop("file_hash")
     lists = cut(numbered(extract_lists(read)), "lists")
     pages = cut(read.groupBy("doc_id").agg(F.max("page_number").alias("page_count")), "pages")
@@ -107,8 +111,60 @@ def run_pages(spark: SparkSession, source: str, state_dir: str, checkpoint: str,
         lines = lines.withColumn("x_min", F.lit(0.0)).withColumn("y_center", F.col("line_ord") * 20.0)
         name = F.concat(F.lit("doc_"), F.col("doc_id"))
         files = hashed.groupBy("doc_id", "file_hash").agg(F.sum(F.length("full_text")).alias("file_size"))
-        scanned = files.select(F.concat(name, F.lit(".pdf")).alias("filename"), name.alias("title"), "file_hash", "file_size", F.concat(F.lit("/data/input/"), name).alias("source_path"))
-        process_batch(state, number, scanned, lines, now)
+        found = files.select(F.concat(name, F.lit(".pdf")).alias("filename"), name.alias("title"), "file_hash", "file_size", F.concat(F.lit("/data/input/"), name).alias("source_path"))
+        process_batch(state, number, found, lines, now)
 
+    ship(spark)
     stream = spark.readStream.schema(schema).parquet(source)
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def run_files(spark: SparkSession, folder: str, state_dir: str, checkpoint: str, rasteriser, detector, settings=None, now: Column | None = None, poll: bool = False):
+    """A streaming query over a folder of PDFs and archives of PDFs, with factories for a rasteriser and a detector.
+
+    Files are read, hashed, registered, recognised and extracted, each once; with ``poll`` the folder is looked at
+    again and again, else what is there is done and the query ends. With an archive folder in the settings, files of
+    completed documents are moved there after the commit.
+    """
+    from lexmill.config import Settings
+
+    settings = settings or Settings()
+    state = State(spark, state_dir)
+    now = F.current_timestamp().cast("timestamp_ntz") if now is None else now
+    ship(spark)
+
+    def batch(arrived: DataFrame, number: int) -> None:
+        loose = arrived.where(F.col("path").endswith(".pdf")).select("path", "length", "content")
+        packed = unpacked_pdfs(members_of(arrived.where(F.col("path").endswith(".zip")), settings.zip_filename_encoding, settings.name_repair))
+        files = loose.unionByName(packed)
+        found = cut(scanned(files), "scanned")
+        content = files.select(R.file_hash(F.col("content")).alias("file_hash"), "content").groupBy("file_hash").agg(F.first("content").alias("content"))
+        content = content.withColumn("doc_id", F.xxhash64("file_hash"))
+        seen = cut(detections(content, rasteriser, detector, settings.dpi, settings.max_pages_per_doc), "detections")
+        lines = detected_lines(seen.where("det_ord is not null")).join(found.select("file_hash", F.xxhash64("file_hash").alias("doc_id")).distinct(), "doc_id").drop("doc_id")
+        process_batch(state, number, found, lines.select("file_hash", "page_number", "line_ord", "text", "x_min", "y_center"), now, settings.stale_processing_minutes, settings.name_repair)
+        if settings.archive_processed:
+            _archive(spark, state, found, settings.archive_dir)
+
+    stream = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary")
+    stream = stream.option("pathGlobFilter", "*.{pdf,zip}").option("recursiveFileLookup", "true").load(folder)
+    write = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    return (write.trigger(processingTime=f"{settings.poll_interval_seconds} seconds") if poll else write.trigger(availableNow=True)).start()
+
+
+def _archive(spark: SparkSession, state: State, found: DataFrame, folder: str) -> None:
+    """Move the files of a batch whose documents are completed; a name that is taken gets part of the hash."""
+    jvm = spark.sparkContext._jvm
+    path_of, conf = jvm.org.apache.hadoop.fs.Path, spark.sparkContext._jsc.hadoopConfiguration()
+    done = state.table("registry").where("status = 'completed'").select("file_hash")
+    for r in found.join(done, "file_hash", "left_semi").select("source_path", "filename", "file_hash").toLocalIterator():
+        source = path_of(r["source_path"])
+        fs = source.getFileSystem(conf)
+        if not fs.exists(source):  # a member of an archive, or moved before
+            continue
+        fs.mkdirs(path_of(folder))
+        target = path_of(f"{folder}/{r['filename']}")
+        if fs.exists(target):
+            stem, dot, suffix = r["filename"].rpartition(".")
+            target = path_of(f"{folder}/{stem or suffix}_{r['file_hash'][:8]}{dot}{suffix if stem else ''}")
+        fs.rename(source, target)

@@ -9,7 +9,8 @@ from tests.conftest import rows
 
 from lexmill.operators import registry as R
 from lexmill.sources import files, recognition
-from lexmill.streaming.worker import REGISTRY, State, run_pages
+from lexmill.config import Settings
+from lexmill.streaming.worker import REGISTRY, State, run_files, run_pages
 
 T = datetime.datetime(2024, 1, 1)
 NOW = datetime.datetime(2024, 6, 1)
@@ -115,3 +116,39 @@ def test_stream_counts_every_file_once(spark, tmp_path):
     spark.createDataFrame([(1, 1, page + "\nЯ — ядро"), (4, 1, page)], schema).coalesce(1).write.mode("append").parquet(source)
     run_pages(spark, source, state, str(tmp_path / "ck"), now()).awaitTermination()
     assert s.table("registry").count() == 3 and s.pointer()["batch"] == 1
+
+
+class Lines:
+    """A rasteriser and detector for files that hold their lines as text."""
+
+    def pages(self, content, dpi, max_pages):
+        text = content.decode()
+        if text.startswith("bad"):
+            raise ValueError("broken file")
+        pages = text.split("\f")
+        return len(pages), [recognition.PageImage(k + 1, 0, 0, p.encode()) for k, p in enumerate(pages)]
+
+    def detect(self, page):
+        return [([[40.0, 20.0 * k], [90.0, 20.0 * k + 8]], t, 1.0) for k, t in enumerate(page.rgb.decode().split("\n"))]
+
+
+def test_stream_of_files(spark, tmp_path, monkeypatch, capsys):
+    from lexmill.__main__ import main
+
+    source, state, kept = tmp_path / "in", str(tmp_path / "state"), tmp_path / "kept"
+    (source / "sub").mkdir(parents=True)
+    page = "Перечень сокращений\nАСУ — система управления\fНД — надзор"
+    (source / "Отчёт.pdf").write_bytes(page.encode())
+    (source / "sub" / "b.pdf").write_bytes(b"bad one")
+    with zipfile.ZipFile(source / "z.zip", "w") as z:
+        z.writestr("c.pdf", page + "\nЯ — ядро")
+    settings = Settings(archive_processed=True, archive_dir=str(kept))
+    for _ in range(2):
+        run_files(spark, str(source), state, str(tmp_path / "ck"), Lines, Lines, settings, now()).awaitTermination()
+    s = State(spark, state)
+    assert rows(s.table("registry"), "title", "status", "page_count") == sorted([("b", "failed", None), ("c", "completed", 2), ("Отчёт", "completed", 2)], key=str)
+    assert s.table("children").groupBy("document_id").count().select("count").distinct().count() == 2
+    assert (kept / "Отчёт.pdf").exists() and not (source / "Отчёт.pdf").exists() and (source / "sub" / "b.pdf").exists()
+    monkeypatch.setenv("STATE_DIR", state)
+    assert main(["query", "Отчёт"]) == 0 and "АСУ — система управления" in capsys.readouterr().out
+    assert main(["query", "нет"]) == 1
