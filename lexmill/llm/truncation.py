@@ -8,8 +8,10 @@ closing punctuation is flagged.
 
 A transfer that broke off shows in the ending. All words of the field tell, by what follows them, how often
 a word (after the word before it) ends a sentence and how often it does not. A text without closing
-punctuation is flagged if its last word occurs nowhere else as a whole word, or goes on in practically all
-other places, or if a bracket is still open. A complete text without a final stop has none of these.
+punctuation is flagged if its last word occurs nowhere else as a whole word, or hardly ever beside the longer
+words that begin with it, or goes on in practically all other places, or if a bracket is still open. A complete
+text without a final stop has none of these. Endings are counted over distinct texts and measured by how often
+the field goes on there, in the same word or after it, so that more data does not make a cut look complete.
 """
 
 from __future__ import annotations
@@ -24,6 +26,10 @@ from lexmill.shared import cut
 FDR = 0.01
 #: Lengths on either side that a hazard is tested against.
 NEIGHBOURS = 12
+#: So many distinct texts may end alike where nothing tells how the field goes on.
+FEW = 4
+#: A whole word that makes up at most this share of the longer words that begin with it is a part of one.
+PART_SHARE = 0.01
 _LETTER = r"\p{L}"
 _TOKEN = r"\p{N}+(?:[.,:]\p{N}+)*|[\p{L}\p{M}]+|[^\s\p{L}\p{M}\p{N}]"
 #: Words that a stop may follow without ending the text.
@@ -70,6 +76,14 @@ def limits(texts: DataFrame) -> DataFrame:
     return by.where((F.col("p") <= F.lit(FDR))).withColumn("last", last).where("p <= last and n >= 3").where(F.col("n") >= F.col("expected") * F.when(F.col("whole"), 10).otherwise(3)).select("field", "source", "whole", "unit", "size", "n", "expected", "p")
 
 
+def _longer(endings: DataFrame, counted: DataFrame, on: list[str], n: str, name: str) -> DataFrame:
+    """``(on, tok, name)``: how often ``counted(on, tok, n)`` has longer words that begin with ``tok`` of ``endings(on, tok)``."""
+    endings = endings.select(*on, "tok", F.substring("tok", 1, 2).alias("start")).distinct()
+    longer = counted.where(F.length("tok") > 1).select(*on, F.col("tok").alias("longer"), n, F.explode(F.array(F.substring("tok", 1, 1), F.substring("tok", 1, 2))).alias("start"))
+    met = endings.join(longer, [*on, "start"]).where(F.col("longer").startswith(F.col("tok")) & (F.col("longer") != F.col("tok")))
+    return met.groupBy(*on, "tok").agg(F.sum(n).alias(name))
+
+
 def truncated(texts: DataFrame) -> DataFrame:
     """``(field, row_id, source, why)`` of each row of ``texts(field, row_id, source, text)`` that lost its end.
 
@@ -84,8 +98,8 @@ def truncated(texts: DataFrame) -> DataFrame:
     grams = texts.select("field", tokens.alias("t")).where(F.size("t") > 0)
     grams = grams.select("field", F.explode(F.transform(F.sequence(F.lit(1), F.size("t")), lambda i: F.struct(
         F.when(i > 1, F.element_at("t", (i - 1).cast("int"))).otherwise("").alias("prev"), F.element_at("t", i.cast("int")).alias("tok"), F.try_element_at("t", (i + 1).cast("int")).alias("next")))).alias("g"))
-    grams = grams.where(F.col("g.tok").rlike(word)).select("field", "g.prev", "g.tok", F.col("g.next").isin(".", ";", "!", "?").cast("int").alias("ends"), F.col("g.next").isNull().cast("int").alias("final"))
-    pairs = grams.groupBy("field", "prev", "tok").agg(F.sum(1 - F.col("final")).alias("pair_n"), F.sum("ends").alias("pair_ends"), F.sum("final").alias("pair_final"))
+    grams = grams.where(F.col("g.tok").rlike(word)).select("field", "g.prev", "g.tok", F.col("g.next").isin(".", ";", "!", "?").cast("int").alias("ends"))
+    pairs = grams.where("ends is not null").groupBy("field", "prev", "tok").agg(F.count("*").alias("pair_n"), F.sum("ends").alias("pair_ends"))
     pairs = cut(pairs, "pairs")
     words = pairs.groupBy("field", "tok").agg(F.sum("pair_n").alias("word_n"), F.sum("pair_ends").alias("word_ends"))
     # rows whose ending has to be looked at
@@ -94,13 +108,21 @@ def truncated(texts: DataFrame) -> DataFrame:
     tail = F.when(F.length(clean) > 160, F.substring(clean, -160, 160)).otherwise(clean)
     size_of = {"chars": F.length("text"), "bytes": F.octet_length(F.regexp_replace("text", "\ufffd+$", "")) + F.col("text").endswith("\ufffd").cast("int")}
     brackets = F.length(F.regexp_replace(clean, r"[^(]", "")) > F.length(F.regexp_replace(clean, r"[^)]", ""))
-    doubtful = cut(texts.where(~closed).select("field", "row_id", "source", *(v.alias(k) for k, v in size_of.items()), brackets.alias("brackets"), tail.alias("clean")), "doubtful")
+    doubtful = cut(texts.where(~closed).select("field", "row_id", "source", *(v.alias(k) for k, v in size_of.items()), brackets.alias("brackets"), F.xxhash64("text").alias("h"), tail.alias("clean")), "doubtful")
     doubtful = doubtful.withColumn("tail", _tokens(clean))
     doubtful = doubtful.withColumn("at_word", clean.rlike(r"[\p{L}\p{M}\p{N}]$")).withColumn("tok", F.try_element_at("tail", F.lit(-1))).withColumn("prev", F.coalesce(F.try_element_at("tail", F.lit(-2)), F.lit(""))).drop("tail")
     sizes = doubtful.select("field", "row_id", "source", F.explode(F.create_map(F.lit("chars"), "chars", F.lit("bytes"), "bytes")).alias("unit", "size"))
     capital = F.regexp_extract(clean, r"([\p{L}\p{M}]+)$", 1).rlike(r"^\p{Lu}\p{Ll}")
     doubtful = doubtful.withColumn("suffix", F.when(capital & (F.length("tok") > 4), F.substring(F.col("tok"), -3, 3)))
-    doubtful = doubtful.join(words, ["field", "tok"], "left").join(pairs, ["field", "prev", "tok"], "left")
+    finals = doubtful.where("at_word").groupBy("field", "prev", "tok").agg(F.countDistinct("h").alias("pair_final"))
+    finals = cut(finals.join(words, ["field", "tok"], "left").join(pairs, ["field", "prev", "tok"], "left"), "finals")
+    n, ends, pn, pends = (F.coalesce(F.col(c), F.lit(0)) for c in ("word_n", "word_ends", "pair_n", "pair_ends"))
+    # longer words in the same place are looked for where the counts of the ending itself do not decide
+    asked = finals.where(~F.col("tok").startswith("#") & ((n >= 3) | (F.col("pair_final") > F.greatest(F.lit(FEW), pn * 0.5))))
+    beside = cut(_longer(asked, pairs, ["field", "prev"], "pair_n", "pair_longer"), "beside")
+    parts = finals.join(beside, ["field", "prev", "tok"]).where((n >= 3) & (pn <= F.col("pair_longer") * PART_SHARE))
+    finals = finals.join(beside, ["field", "prev", "tok"], "left").join(_longer(parts, words, ["field"], "word_n", "word_longer"), ["field", "tok"], "left")
+    doubtful = doubtful.join(finals, ["field", "prev", "tok"], "left")
     # endings of capitalised words (names): how common the last three letters are
     names = words.where(F.length("tok") > 4).groupBy("field", F.substring("tok", -3, 3).alias("suffix")).agg(F.count("*").alias("suffix_n"))
     names = names.withColumn("suffix_share", F.col("suffix_n") / F.sum("suffix_n").over(W.partitionBy("field")))
@@ -110,12 +132,14 @@ def truncated(texts: DataFrame) -> DataFrame:
     all_ = sizes.join(lim.where("whole").select("field", "unit", "size"), ["field", "unit", "size"], "left_semi")
     at_limit = own.select("field", "row_id").union(all_.select("field", "row_id")).distinct().withColumn("limit", F.lit(True))
     doubtful = doubtful.join(at_limit, ["field", "row_id"], "left")
-    n, ends, pn, pends = (F.coalesce(F.col(c), F.lit(0)) for c in ("word_n", "word_ends", "pair_n", "pair_ends"))
+    final, longer, word_longer = (F.coalesce(F.col(c), F.lit(0)) for c in ("pair_final", "pair_longer", "word_longer"))
     # a message that always stops there is complete
-    rare = F.coalesce(F.col("pair_final"), F.lit(0)) <= F.greatest(F.lit(4), pn * 0.5)
+    rare = final <= F.greatest(F.lit(FEW), pn * 0.5)
+    rare_part = final <= F.greatest(F.lit(FEW), (pn + longer) * 0.5)
+    part = (n < 3) | ((pn <= longer * PART_SHARE) & (n <= word_longer * PART_SHARE))
     number = F.col("tok").startswith("#")
     at_word = F.col("at_word")
-    fragment = at_word & rare & ~number & (n < 3) & (F.col("suffix").isNull() | (F.coalesce("suffix_share", F.lit(0.0)) < 0.004)) & ~clean.rlike(r"\p{N}\p{L}+$|\p{Lu}{2,}$|\p{IsLatin}\p{IsCyrillic}+$|\p{IsCyrillic}\p{IsLatin}+$")
+    fragment = at_word & rare_part & ~number & part & (F.col("suffix").isNull() | (F.coalesce("suffix_share", F.lit(0.0)) < 0.004)) & ~clean.rlike(r"\p{N}\p{L}+$|\p{Lu}{2,}$|\p{IsLatin}\p{IsCyrillic}+$|\p{IsCyrillic}\p{IsLatin}+$")
     goes_on = ((pn >= 12) & (pends == 0) & (ends < n * 0.04)) | ((pn >= 80) & (pends < pn * 0.003)) | ((n >= 40) & (ends <= n * 0.006) & (pends <= pn * 0.05))
     dangling = at_word & rare & ~capital & (n >= 3) & goes_on
     open_ = F.col("brackets") | clean.rlike(r"[(\[«“„/,—–:-]$")

@@ -270,6 +270,17 @@ def test_limits_and_endings(spark):
     assert shares["short"] == len(cut_ids)
 
 
+def test_recurring_cuts_are_found_and_recurring_names_are_not(spark):
+    whole = [f"Канал {w} номер {i} хранится со сроком хранения до года." for i, w in enumerate(["связи", "учёта", "записи"] * 200)]
+    cuts = [f"Опытный канал {'а' * (i % 7)}б номер {i} хранится со сроком хра" for i in range(12)]
+    apart = [f"Знак {i} хра стоит отдельно, как видно здесь." for i in range(4)]  # the fragment as a word, 4 among 600 longer ones
+    names = [f"Опытный канал {'а' * (i % 7)}в номер {i} хранится на площадке вуханофорис драфоседруйка" for i in range(12)]
+    texts = whole + cuts + apart + names + ["Архивный канал хранится на складе бумаги и там без учё"] * 9 + ["Канал хранится без учёта и описи."] * 40
+    df = spark.createDataFrame([("terms", i, None, t) for i, t in enumerate(texts)], "field string, row_id bigint, source string, text string")
+    found = {texts[i] for _, i in rows(truncation.truncated(df), "field", "row_id")}
+    assert set(cuts) <= found and not found & set(names + whole + apart) and "Архивный канал хранится на складе бумаги и там без учё" in found
+
+
 def test_truncation_of_an_empty_table(spark):
     empty = spark.createDataFrame([], "field string, row_id bigint, source string, text string")
     assert truncation.truncated(empty).count() == 0 and truncation.shares(empty).count() == 0
