@@ -75,6 +75,11 @@ def _mix(a: np.ndarray) -> np.ndarray:
         return a ^ (a >> np.uint64(29))
 
 
+def _least(threshold: float, n: int) -> int:
+    """Words that a text similar to one of ``n`` words has and shares with it, at least."""
+    return int(np.ceil(threshold * n - 1e-9))
+
+
 def _variants(batches: Iterator[pd.DataFrame], frequent, threshold: float, widen: int) -> Iterator[pd.DataFrame]:
     words, counts = frequent
     sets: dict[tuple[int, int], np.ndarray] = {}
@@ -90,18 +95,22 @@ def _variants(batches: Iterator[pd.DataFrame], frequent, threshold: float, widen
             known = (words[place] == w) if len(words) else np.zeros(n, dtype=bool)
             order = np.lexsort((w, np.where(known, counts[place] if len(words) else 0, 0)))
             mixed, known = _mix(w[order].view(np.uint64)), known[order]
-            least = int(np.ceil(threshold * n - 1e-9))
+            least = _least(threshold, n)
             for size, low, high in SIZES:
                 if not low <= n < high:
                     continue
-                size = min(size * widen, least)
-                prefix = min(n, n - least + size)
-                rare = ~known[:prefix]
-                keys.append(mixed[:prefix][rare])
+                # short texts share fewer words than a full variant has: a pair meets in the size of its smaller text, so
+                # the sizes of all smaller texts that may be similar are emitted too
+                sizes = range(min(size * widen, _least(threshold, _least(threshold, n))), min(size * widen, least) + 1)
+                rare = ~known[: min(n, n - least + sizes[-1])]
+                keys.append(mixed[: len(rare)][rare])
                 rows.append(np.full(int(rare.sum()), at))
-                common = mixed[:prefix][~rare]
-                q = len(common)
-                if q >= size:
+                for size in sizes:
+                    prefix = min(n, n - least + size)
+                    common = mixed[:prefix][~rare[:prefix]]
+                    q = len(common)
+                    if q < size:
+                        continue
                     if (q, size) not in sets:
                         if len(sets) > 500:
                             sets.clear()

@@ -213,6 +213,17 @@ def test_versions_are_all_similar_pairs(spark, monkeypatch, rare, crowd):
     assert all(groups[g] == g and g <= i for i, g in groups.items())
 
 
+@pytest.mark.parametrize("size", [4, 5, 6, 7])
+def test_crowded_versions_of_different_sizes_meet(spark, monkeypatch, size):
+    monkeypatch.setattr(versions, "RARE", 2)
+    monkeypatch.setattr(versions, "CROWD", 5)
+    base = [f"w{i}" for i in range(size)]
+    data = [(0, " ".join(base))] + [(i, " ".join([*base, f"x{i}"])) for i in range(1, 13)]
+    df = spark.createDataFrame(data, "id bigint, value string").withColumn("source_table", F.lit("t"))
+    got = {(a, b) for _, a, b in rows(versions.version_pairs(df))}
+    assert got == brute(data) and {(0, i) for i in range(1, 13)} <= got
+
+
 def test_versions_of_an_empty_table(spark):
     empty = spark.createDataFrame([], "source_table string, id bigint, value string")
     assert versions.version_pairs(empty).count() == 0 and versions.version_groups(empty).count() == 0
