@@ -2,9 +2,9 @@
 
 Numbers, addresses, dates and request marks of a text are masked and the masked messages are grouped by
 their exact hash over all sources, so that a message is judged once however often it recurs. The phrase rules
-take a message apart into sentences: it is residue if each sentence is a known kind of notice or its usual
-company (navigation, reference marks, advice to retry) and at least one is such a notice. A message that
-recurs in several sources may hold one foreign sentence. Slots of templates are found by their spelling
+take a message of any length apart into sentences: it is residue if each sentence is a known kind of notice or its usual
+company (navigation, reference marks, advice to retry) and at least one is such a notice. One sentence in
+ten may be foreign, and one in a message that recurs in several sources. Slots of templates are found by their spelling
 in texts of any length; a slot that is spoken of (in an explanation) or used (in a script) is none.
 """
 
@@ -15,9 +15,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Only messages up to this length are taken apart; notices are short, and slots are looked for in all texts.
-MESSAGE_CHARS = 1500
-#: A sentence that is a notice is not longer; one that speaks of a notice mostly is.
+from lexmill.shared import cut
+
+#: Share of the sentences of a message that may be foreign to notices.
+FOREIGN = 0.1
+#: A sentence that is a notice is not longer, filler apart; one that speaks of a notice mostly is.
 NOTICE_CHARS = 90
 #: A message is widely recurring from so many sources on.
 SOURCES = 3
@@ -46,10 +48,18 @@ _COMPANY = [
     r"^[#@№:\s.,!—|/-]*$", r"^(ref|ray|request|код|id|№)( id| обращения)?:? *[#@\w-]*$", r"request id [#@]+$", r"^(home|search|contacts|главная|поиск|контакты|назад|back|help|помощь|войти|login)( *[|/·•-] *\w+)*$",
     r"вернитесь на главную", r"обратитесь к администратору", r"проверьте адрес", r"повторите попытку", r"обновите страницу", r"reload", r"try again", r"код обращения", r"^ошибка #+", r"узел #+", r"подождите", r"войдите снова",
     r"some parts cannot be shown", r"страница не может быть показана", r"before opening", r"go back", r"contact (the|your) administrator",
+    r"^traceback \(most recent call last\)", r"^file \"[^\"]*\", line #(, in \S+)?$", r"^(file|at) \S+\(\S*\)$",
+]
+# Beginnings of sentences that are filler however long they are, and words that invented Latin is made of.
+_FILLER = [
+    r"^lorem ipsum dolor", r"^ut enim ad minim veniam", r"^duis aute irure dolor", r"^excepteur sint occaecat", r"^sed ut perspiciatis unde omnis", r"^nemo enim ipsam voluptatem", r"^neque porro quisquam est",
 ]
+FILLER = "|".join(_FILLER)
+#: A sentence of invented Latin: Latin letters only, none of the words that English needs and Latin lacks, and a word of the filler.
+LATIN = r"^(?!.*\b(?:the|of|is|are|an|and|for|to|on|with|by|from|or|that|this)\b)(?=.*\b(?:ipsum|dolor|amet|consectetur|adipiscing|elit|vestibulum|pellentesque|nulla|quis|nec|eget|sed|vel|et|ut)\b)[a-z\s,;:'-]+$"
 NOTICE, COMPANY = "|".join(f"(?:{p})" for p in _NOTICES), "|".join(f"(?:{p})" for p in _COMPANY)
 #: Whether any notice may stand somewhere in a message; looked for at the beginnings of words only.
-_ANY_NOTICE = r"(?<![\p{L}\p{N}])(?:" + "|".join(f"(?:{p.removeprefix('^').removesuffix('$')})" for p in _NOTICES) + ")"
+_ANY_NOTICE = r"(?<![\p{L}\p{N}])(?:" + "|".join(f"(?:{p.removeprefix('^').removesuffix('$')})" for p in _NOTICES + _FILLER) + ")"
 
 # Spellings of template slots.
 _NAME = r"[\p{L}_][\p{L}\p{N}_.]*"
@@ -82,17 +92,18 @@ def masked(text: Column) -> Column:
 
 
 def _sentences(message: Column) -> Column:
-    cut = F.regexp_replace(message, r"((?:[.!?…](?=\s|$|№|ref|ray|главная|home))|\s(?:[|/—])\s|(?<=\p{L})(?=№ ?#)|,? (?=главная / |home \| ))\s*", "\u0001")
-    return F.filter(F.transform(F.split(cut, "\u0001"), lambda s: F.regexp_replace(s, r"^[\s.!?…,;:—|/]+|[\s.!?…,;:—|/]+$", "")), lambda s: s != "")
+    parts = F.regexp_replace(message, r"((?:[.!?…](?=\s|$|№|ref|ray|главная|home))|\s(?:[|/—])\s|(?<=\p{L})(?=№ ?#)|,? (?=главная / |home \| ))\s*", "\u0001")
+    return F.filter(F.transform(F.split(parts, "\u0001"), lambda s: F.regexp_replace(s, r"^[\s.!?…,;:—|/]+|[\s.!?…,;:—|/]+$", "")), lambda s: s != "")
 
 
 def notice(message: Column, widely: Column) -> Column:
     """Whether a masked message is a notice: nothing but notices and their company, and some notice."""
     parts = _sentences(message)
-    says = lambda s: s.rlike(NOTICE) & (F.length(s) <= NOTICE_CHARS)
+    says = lambda s: (s.rlike(NOTICE) & (F.length(s) <= NOTICE_CHARS)) | s.rlike(FILLER)
     hits = F.size(F.filter(parts, says))
-    foreign = F.size(F.filter(parts, lambda s: ~says(s) & ~s.rlike(COMPANY)))
-    return (hits > 0) & ((foreign == 0) | (widely & (foreign == 1) & (hits >= foreign)))
+    latin = F.exists(parts, lambda s: s.rlike(FILLER))
+    foreign = F.size(F.filter(parts, lambda s: ~says(s) & ~s.rlike(COMPANY) & ~(latin & s.rlike(LATIN))))
+    return (hits > 0) & ((foreign <= F.size(parts) * FOREIGN) | (widely & (foreign == 1) & (hits >= foreign)))
 
 
 def slots_left(text: Column) -> Column:
@@ -116,13 +127,13 @@ def residue(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"))
     docs = docs.where("doc_id is not null").where(F.col("text").rlike(r"[^\s\x{A0}\x{3000}]"))
-    short = docs.where(F.length("text") <= MESSAGE_CHARS).select("doc_id", "source", masked(F.col("text")).alias("message"))
-    short = short.where(F.col("message").rlike(_ANY_NOTICE))
-    short = short.select("doc_id", "source", "message", F.xxhash64("message").alias("h1"), F.hash("message").alias("h2"))
-    by_source = short.groupBy("h1", "h2", "source").agg(F.first("message").alias("message"))
+    messages = docs.select("doc_id", "source", masked(F.col("text")).alias("message"))
+    messages = messages.where(F.col("message").rlike(_ANY_NOTICE))
+    messages = cut(messages.select("doc_id", "source", "message", F.xxhash64("message").alias("h1"), F.hash("message").alias("h2")), "messages")
+    by_source = messages.groupBy("h1", "h2", "source").agg(F.first("message").alias("message"))
     judged = by_source.groupBy("h1", "h2").agg(F.first("message").alias("message"), F.count("*").alias("sources"))
     judged = judged.where(notice(F.col("message"), F.col("sources") >= SOURCES)).select("h1", "h2")
-    notices = short.join(judged, ["h1", "h2"], "left_semi").select("doc_id", F.lit("notice").alias("reason"))
+    notices = messages.join(judged, ["h1", "h2"], "left_semi").select("doc_id", F.lit("notice").alias("reason"))
     marked = docs.select("doc_id", F.when(slots_left(F.col("text")), "slots").when(pseudo_words(F.col("text")), "filler").alias("reason")).where("reason is not null")
     return marked.unionByName(notices).groupBy("doc_id").agg(F.max("reason").alias("reason"))
 

@@ -254,6 +254,21 @@ def test_residue(spark, text, case):
     assert residue.content(df).count() == (1 if case else 3)
 
 
+LOREM = "Lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod tempor incididunt ut labore et dolore magna aliqua."
+PARAGRAPH = LOREM + " Ut enim ad minim veniam, quis nostrud exercitation ullamco laboris nisi ut aliquip ex ea commodo consequat. Duis aute irure dolor in reprehenderit in voluptate velit esse cillum dolore eu fugiat nulla pariatur."
+
+
+@pytest.mark.parametrize(
+    ("text", "case"),
+    [
+        ("Образец текста. " * 200, True), ("Страница не найдена.\n" + "Главная | Поиск | Контакты\n" * 80 + "Повторите попытку.", True), (LOREM, True), (PARAGRAPH, True), (PARAGRAPH * 9, True),
+        ("Журнал хранится в архиве и ведётся по разделам. " * 60 + "Страница не найдена.", False), ("Lorem ipsum is the usual filler of printers, and the editor has replaced it with the text of the modules.", False),
+    ],
+)
+def test_residue_of_long_messages_and_sentences(spark, text, case):
+    test_residue(spark, text, case)
+
+
 def test_residue_of_an_empty_table(spark):
     assert residue.residue(spark.createDataFrame([], "doc_id bigint, text string, source string")).count() == 0
 
