@@ -2,9 +2,12 @@
 
 A field limit shows in the lengths. For every source, the discrete hazard of each length (texts that end
 at it, of those at least as long) is computed by window functions, in characters and in UTF-8 bytes, and
-tested against the hazards of the neighbouring lengths; Benjamini-Hochberg control within a source keeps
-false discoveries down. Repeats of one text count once. At significant lengths every ending without
-closing punctuation is flagged.
+tested against the hazards of the neighbouring lengths. All lengths from the shortest to the longest are tests,
+also those that no text has, and Benjamini-Hochberg control within a source keeps false discoveries down.
+A limit in one unit makes bumps in the other: a text at several significant lengths counts for the
+strongest, and the others have to be significant without it. Because any unevenness becomes significant in
+enough rows, a limit must also stand out in size, by ``PILE`` times its neighbours. Repeats of one text count
+once. At significant lengths every ending without closing punctuation is flagged.
 
 A transfer that broke off shows in the ending. All words of the field tell, by what follows them, how often
 a word (after the word before it) ends a sentence and how often it does not. A text without closing
@@ -26,14 +29,20 @@ from lexmill.shared import cut
 FDR = 0.01
 #: Lengths on either side that a hazard is tested against.
 NEIGHBOURS = 12
+#: A limit has so many times the texts that its neighbours let expect; all sources together, so many times.
+PILE, PILE_ALL = 3, 10
 #: So many distinct texts may end alike where nothing tells how the field goes on.
 FEW = 4
 #: A whole word that makes up at most this share of the longer words that begin with it is a part of one.
 PART_SHARE = 0.01
 _LETTER = r"\p{L}"
 _TOKEN = r"\p{N}+(?:[.,:]\p{N}+)*|[\p{L}\p{M}]+|[^\s\p{L}\p{M}\p{N}]"
-#: Words that a stop may follow without ending the text.
-_ABBREVIATIONS = r"(?i)(?:^|[^\p{L}])(?:стр|рис|табл|разд|см|гл|ст|изд|п|fig|sec|p|pp|vol|ch|no)\.$"
+# Words that a stop may follow without ending the text; what they announce is missing.
+_ABBREVIATIONS = r"(?i)(?<!т\. ?)(?<![\p{L}\p{N}])(?<!\p{N}\s)(?:стр|рис|табл|разд|см|гл|ст|п|fig|sec|p|pp|vol|ch|no)\.$"
+#: Dots that stand for what is missing.
+_DOTS = "(?:\ufffd|(?<=[\\p{L}\\p{N} (,])(?:…|\\.\\.\\.))$"
+#: A token that begins a sentence says little about how it would end one.
+_BEGINS = ("", ".", "!", "?", ";", ":", "…")
 
 
 def cleaned(text: Column) -> Column:
@@ -50,9 +59,9 @@ def _tokens(text: Column) -> Column:
 def limits(texts: DataFrame) -> DataFrame:
     """``(field, source, unit, size, n, expected, p)``: the lengths at which texts of a source end too often.
 
-    ``texts`` has ``field``, ``source`` and ``text``. ``unit`` is ``chars`` or ``bytes``. The tail of the Poisson
-    distribution is bounded after Chernoff, so no p-value is too small. The rows of all sources together
-    are tested as a source of their own (null).
+    ``texts`` has ``field``, ``source`` and ``text``. ``unit`` is ``chars`` or ``bytes``; ``whole`` marks the rows of all sources
+    together, which are tested as a source of their own (null). The tail of the Poisson distribution is bounded
+    after Chernoff. The windows run over distinct lengths, whose number does not grow with the rows.
     """
     bare = F.regexp_replace("text", "\ufffd+$", "")
     broken = F.col("text").endswith("\ufffd").cast("int")
@@ -61,19 +70,42 @@ def limits(texts: DataFrame) -> DataFrame:
     by = long.groupBy("field", "source", "unit", "size").agg(F.count("*").alias("n"))
     total = long.groupBy("field", "unit", "size").agg(F.countDistinct("h").alias("n")).select("field", F.lit(None).cast("string").alias("source"), "unit", "size", "n")
     by = by.withColumn("whole", F.lit(False)).unionByName(total.withColumn("whole", F.lit(True)))
-    one = W.partitionBy("field", "whole", "source", "unit")
-    at_risk = F.sum("n").over(one.orderBy(F.desc("size")).rowsBetween(W.unboundedPreceding, 0))
-    ordered = one.orderBy("size").rangeBetween(-NEIGHBOURS, NEIGHBOURS)
+    by = _tested(by)
+    last = F.max(F.when(F.col("under"), F.col("p"))).over(_one())
+    found = by.withColumn("last", last).where("p <= last").where(_piled(F.col("n"))).select("field", "source", "whole", "unit", "size", "expected", "p", "last")
+    # what a text at a stronger length explains is no evidence for another
+    at = long.join(found.where("not whole"), ["field", "source", "unit", "size"]).select("field", "source", "h", "unit", "size", "whole", "p")
+    at = at.unionByName(long.select("field", "h", "unit", "size").distinct().join(found.where("whole").drop("source"), ["field", "unit", "size"]).select("field", F.lit(None).cast("string").alias("source"), "h", "unit", "size", "whole", "p"))
+    best = at.groupBy("field", "whole", "source", "h").agg(F.min_by(F.struct("unit", "size"), F.struct("p", "unit", "size")).alias("b")).groupBy("field", "whole", "source", "b.unit", "b.size").agg(F.count("*").alias("n"))
+    same = found.withColumn("source", F.coalesce("source", F.lit(""))).join(best.withColumn("source", F.coalesce("source", F.lit(""))), ["field", "whole", "source", "unit", "size"])
+    same = same.where((_tail(F.col("n"), F.col("expected")) <= F.col("last")) & _piled(F.col("n")))
+    return same.select("field", F.nullif("source", F.lit("")).alias("source"), "whole", "unit", "size", "n", "expected", "p")
+
+
+def _one():
+    return W.partitionBy("field", "whole", "source", "unit")
+
+
+def _tail(n: Column, expected: Column) -> Column:
+    """Chernoff's bound on the probability of ``n`` or more where ``expected`` are."""
+    return F.exp(F.when(n > expected, n - expected - n * F.log(n / expected)).otherwise(0.0))
+
+
+def _piled(n: Column) -> Column:
+    return n >= F.col("expected") * F.when(F.col("whole"), PILE_ALL).otherwise(PILE)
+
+
+def _tested(by: DataFrame) -> DataFrame:
+    """Counts of lengths with hazard, ``expected`` number, ``p`` and whether p is ``under`` its bound."""
+    at_risk = F.sum("n").over(_one().orderBy(F.desc("size")).rowsBetween(W.unboundedPreceding, 0))
+    near = _one().orderBy("size").rangeBetween(-NEIGHBOURS, NEIGHBOURS)
     by = by.withColumn("risk", at_risk).withColumn("hazard", F.col("n") / F.col("risk"))
     # lengths that do not occur have hazard 0: the mean is over the 2 * NEIGHBOURS neighbours, not over the rows
-    around = (F.sum("hazard").over(ordered) - F.col("hazard")) / (2 * NEIGHBOURS)
+    around = (F.sum("hazard").over(near) - F.col("hazard")) / (2 * NEIGHBOURS)
     by = by.withColumn("expected", F.greatest(around * F.col("risk"), F.lit(0.05)))
-    log_p = F.when(F.col("n") > F.col("expected"), F.col("n") - F.col("expected") - F.col("n") * F.log(F.col("n") / F.col("expected"))).otherwise(0.0)
-    by = by.withColumn("p", F.exp(log_p))
-    m, k = F.count("*").over(one), F.row_number().over(one.orderBy("p", "size"))
-    by = by.withColumn("under", F.col("p") <= k / m * FDR)
-    last = F.max(F.when(F.col("under"), F.col("p"))).over(one)
-    return by.where((F.col("p") <= F.lit(FDR))).withColumn("last", last).where("p <= last and n >= 3").where(F.col("n") >= F.col("expected") * F.when(F.col("whole"), 10).otherwise(3)).select("field", "source", "whole", "unit", "size", "n", "expected", "p")
+    by = by.withColumn("p", _tail(F.col("n"), F.col("expected")))
+    tests = F.max("size").over(_one()) - F.min("size").over(_one()) + 1
+    return by.withColumn("under", F.col("p") <= F.row_number().over(_one().orderBy("p", "size")) / tests * FDR)
 
 
 def _longer(endings: DataFrame, counted: DataFrame, on: list[str], n: str, name: str) -> DataFrame:
@@ -101,10 +133,11 @@ def truncated(texts: DataFrame) -> DataFrame:
     grams = grams.where(F.col("g.tok").rlike(word)).select("field", "g.prev", "g.tok", F.col("g.next").isin(".", ";", "!", "?").cast("int").alias("ends"))
     pairs = grams.where("ends is not null").groupBy("field", "prev", "tok").agg(F.count("*").alias("pair_n"), F.sum("ends").alias("pair_ends"))
     pairs = cut(pairs, "pairs")
-    words = pairs.groupBy("field", "tok").agg(F.sum("pair_n").alias("word_n"), F.sum("pair_ends").alias("word_ends"))
+    begins = F.col("prev").isin(*_BEGINS)
+    words = pairs.groupBy("field", "tok").agg(F.sum("pair_n").alias("word_n"), F.sum(F.when(~begins, F.col("pair_n")).otherwise(0)).alias("inner_n"), F.sum(F.when(~begins, F.col("pair_ends")).otherwise(0)).alias("word_ends"))
     # rows whose ending has to be looked at
     clean = F.col("clean")
-    closed = clean.rlike(r"[.!?;][\"»”')\]]*$|\.\p{L}{2,4}$") & ~clean.rlike(_ABBREVIATIONS)
+    closed = clean.rlike(r"[.!?;][\"»”')\]]*$|\.\p{L}{2,4}$") & ~clean.rlike(_ABBREVIATIONS) & ~clean.rlike(_DOTS)
     tail = F.when(F.length(clean) > 160, F.substring(clean, -160, 160)).otherwise(clean)
     size_of = {"chars": F.length("text"), "bytes": F.octet_length(F.regexp_replace("text", "\ufffd+$", "")) + F.col("text").endswith("\ufffd").cast("int")}
     brackets = F.length(F.regexp_replace(clean, r"[^(]", "")) > F.length(F.regexp_replace(clean, r"[^)]", ""))
@@ -114,9 +147,9 @@ def truncated(texts: DataFrame) -> DataFrame:
     sizes = doubtful.select("field", "row_id", "source", F.explode(F.create_map(F.lit("chars"), "chars", F.lit("bytes"), "bytes")).alias("unit", "size"))
     capital = F.regexp_extract(clean, r"([\p{L}\p{M}]+)$", 1).rlike(r"^\p{Lu}\p{Ll}")
     doubtful = doubtful.withColumn("suffix", F.when(capital & (F.length("tok") > 4), F.substring(F.col("tok"), -3, 3)))
-    finals = doubtful.where("at_word").groupBy("field", "prev", "tok").agg(F.countDistinct("h").alias("pair_final"))
+    finals = doubtful.where("at_word").groupBy("field", "prev", "tok").agg(F.countDistinct("h").alias("pair_final"), F.count("*").alias("pair_rows"))
     finals = cut(finals.join(words, ["field", "tok"], "left").join(pairs, ["field", "prev", "tok"], "left"), "finals")
-    n, ends, pn, pends = (F.coalesce(F.col(c), F.lit(0)) for c in ("word_n", "word_ends", "pair_n", "pair_ends"))
+    n, inner, ends, pn, pends = (F.coalesce(F.col(c), F.lit(0)) for c in ("word_n", "inner_n", "word_ends", "pair_n", "pair_ends"))
     # longer words in the same place are looked for where the counts of the ending itself do not decide
     asked = finals.where(~F.col("tok").startswith("#") & ((n >= 3) | (F.col("pair_final") > F.greatest(F.lit(FEW), pn * 0.5))))
     beside = cut(_longer(asked, pairs, ["field", "prev"], "pair_n", "pair_longer"), "beside")
@@ -132,18 +165,18 @@ def truncated(texts: DataFrame) -> DataFrame:
     all_ = sizes.join(lim.where("whole").select("field", "unit", "size"), ["field", "unit", "size"], "left_semi")
     at_limit = own.select("field", "row_id").union(all_.select("field", "row_id")).distinct().withColumn("limit", F.lit(True))
     doubtful = doubtful.join(at_limit, ["field", "row_id"], "left")
-    final, longer, word_longer = (F.coalesce(F.col(c), F.lit(0)) for c in ("pair_final", "pair_longer", "word_longer"))
-    # a message that always stops there is complete
-    rare = final <= F.greatest(F.lit(FEW), pn * 0.5)
+    final, copies, longer, word_longer = (F.coalesce(F.col(c), F.lit(0)) for c in ("pair_final", "pair_rows", "pair_longer", "word_longer"))
+    # a message that always stops there is complete; where the place never goes on, its copies count too
+    rare = (final <= F.greatest(F.lit(FEW), pn * 0.5)) & ((pn > 0) | (copies <= FEW))
     rare_part = final <= F.greatest(F.lit(FEW), (pn + longer) * 0.5)
     part = (n < 3) | ((pn <= longer * PART_SHARE) & (n <= word_longer * PART_SHARE))
     number = F.col("tok").startswith("#")
     at_word = F.col("at_word")
     fragment = at_word & rare_part & ~number & part & (F.col("suffix").isNull() | (F.coalesce("suffix_share", F.lit(0.0)) < 0.004)) & ~clean.rlike(r"\p{N}\p{L}+$|\p{Lu}{2,}$|\p{IsLatin}\p{IsCyrillic}+$|\p{IsCyrillic}\p{IsLatin}+$")
-    goes_on = ((pn >= 12) & (pends == 0) & (ends < n * 0.04)) | ((pn >= 80) & (pends < pn * 0.003)) | ((n >= 40) & (ends <= n * 0.006) & (pends <= pn * 0.05))
+    goes_on = ((pn >= 12) & (pends == 0) & (ends < inner * 0.04)) | ((pn >= 80) & (pends < pn * 0.003)) | ((inner >= 40) & (ends <= inner * 0.006) & (pends <= pn * 0.05))
     dangling = at_word & rare & ~capital & (n >= 3) & goes_on
-    open_ = F.col("brackets") | clean.rlike(r"[(\[«“„/,—–:-]$")
-    mark = clean.rlike("(?:\ufffd|(?<=[\\p{L}\\p{N} (,])(?:…|\\.\\.\\.))$")
+    open_ = F.col("brackets") | clean.rlike(r"[(\[«“„/,—–:-]$") | clean.rlike(_ABBREVIATIONS)
+    mark = clean.rlike(_DOTS)
     why = F.when(F.col("limit") & ~clean.rlike(r"[»”)]$"), "limit").when(mark, "mark").when(open_, "open").when(dangling, "dangling").when(fragment, "fragment")
     return doubtful.withColumn("why", why).where("why is not null").groupBy("field", "row_id").agg(F.first("source").alias("source"), F.min("why").alias("why"))
 

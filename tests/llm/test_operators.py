@@ -307,6 +307,25 @@ def test_recurring_cuts_are_found_and_recurring_names_are_not(spark):
     assert set(cuts) <= found and not found & set(names + whole + apart) and "Архивный канал хранится на складе бумаги и там без учё" in found
 
 
+def test_dots_announced_numbers_and_fixed_messages(spark):
+    whole = [f"Канал {w} номер {i} хранится согласно таблице на стр. {i % 70}." for i, w in enumerate(["связи", "учёта", "записи"] * 100)]
+    cuts = ["Канал связи номер 7 хранится сог...", "Канал записи хранится согласно таблице на стр.", "Канал учёта хранится и…"]
+    fixed = ["Сброшено: зависшая обработка"] * 50 + [f"Обработка номер {i} сброшена, как видно здесь." for i in range(60)]
+    texts = whole + cuts + fixed + ["Канал связи и прочие сведения и т. п.", "Журнал на 40 стр."]
+    df = spark.createDataFrame([("terms", i, f"s{i % 3}", t) for i, t in enumerate(texts)], "field string, row_id bigint, source string, text string")
+    assert {texts[i] for _, i in rows(truncation.truncated(df), "field", "row_id")} == set(cuts)
+
+
+def test_a_limit_in_bytes_is_none_in_characters(spark):
+    rng = random.Random(6)
+    data = []
+    for i in range(1500):
+        text = "".join(rng.choice("абвгде ") for _ in range(rng.randint(40, 400)))
+        data.append(("terms", i, "s", text.encode()[:255].decode(errors="replace") if i % 2 else text))
+    df = spark.createDataFrame(data, "field string, row_id bigint, source string, text string")
+    assert {(u, n) for u, n in rows(truncation.limits(df).where("not whole"), "unit", "size")} <= {("bytes", 254), ("bytes", 255)}
+
+
 def test_truncation_of_an_empty_table(spark):
     empty = spark.createDataFrame([], "field string, row_id bigint, source string, text string")
     assert truncation.truncated(empty).count() == 0 and truncation.shares(empty).count() == 0
