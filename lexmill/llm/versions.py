@@ -10,8 +10,14 @@ That loses nothing: of the L or more words that two fingerprints share, one is r
 
 Variants are shuffled by their hash; pairs that meet are filtered by size and by a bit signature whose
 difference bounds the words that differ, deduplicated, and verified on the whole word sets. Texts equal but
-for formatting are one class throughout, however many they are. Where a variant is shared by so many
-classes that it tells little, it is left to variants of more words, which the classes that hold it emit too.
+for formatting are one class throughout, however many they are.
+
+A variant that many classes hold tells little, and its pairs are not made. Similar texts of ``a`` and ``b`` words
+share at least ``t / (1 + t) * (a + b)``, so of the classes that hold a crowded variant of L words those pairs
+whose sizes bound the shared words by L are similar for certain and are joined by their sizes; any other
+similar pair shares a word more. The first L + 1 words they share in the global order are the first L and a
+later one, so each crowded variant is extended by the later words of the (longer) fingerprint, and again while
+variants are crowded. What is made is thus a result, or a pair out of at most ``CROWD`` classes.
 """
 
 from __future__ import annotations
@@ -35,8 +41,12 @@ RARE = 128
 WORDS = 1_000_000
 #: Words of a variant by the size of the text: up to this size (exclusive) and from this size on.
 SIZES = ((3, 0, 100), (2, 80, 1250), (1, 1000, 1 << 60))
-#: A variant that more classes hold is refined: variants of twice as many words take its place.
+#: A variant that more classes hold is refined: variants of one more word take its place.
 CROWD = 200
+#: Members of a class that one task expands at most (about); classes with more are spread.
+SPREAD = 4096
+#: Variants are handed over in batches of about so many.
+_BATCH = 500_000
 
 
 def _hash(seed: int, *cols) -> F.Column:
@@ -80,80 +90,143 @@ def _least(threshold: float, n: int) -> int:
     return int(np.ceil(threshold * n - 1e-9))
 
 
-def _variants(batches: Iterator[pd.DataFrame], frequent, threshold: float, widen: int) -> Iterator[pd.DataFrame]:
+def _first_sizes(n: int, threshold: float) -> list[int]:
+    """Sizes of the first variants of a text of ``n`` words. Short texts share fewer words than a full variant has: a pair meets in
+    the size of its smaller text, so the sizes of all smaller texts that may be similar are emitted too."""
+    least = _least(threshold, n)
+    return sorted({k for size, low, high in SIZES if low <= n < high for k in range(min(size, _least(threshold, least)), min(size, least) + 1)})
+
+
+def _key(sums: np.ndarray, size: int) -> np.ndarray:
+    """A commutative hash of a set from the sum of its mixed words, other for every set size."""
+    with np.errstate(over="ignore"):
+        return _mix(sums + np.uint64(size)).view(np.int64)
+
+
+def _steps(common: np.ndarray, combos: np.ndarray, sums: np.ndarray, size: int, crowded: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of variants (positions in ``common`` and sums of their words) those that are crowded, each extended by every later word before ``limit``."""
+    hit = np.isin(_key(sums, size), crowded)
+    combos, sums = combos[hit], sums[hit]
+    more = np.maximum(limit - 1 - combos[:, -1], 0)
+    at = np.repeat(np.arange(len(combos)), more)
+    later = combos[at, -1] + 1 + (np.arange(len(at)) - np.repeat(np.cumsum(more) - more, more))
+    with np.errstate(over="ignore"):
+        return np.column_stack([combos[at], later]), sums[at] + common[later]
+
+
+def _variants(batches: Iterator[pd.DataFrame], frequent, threshold: float, step: int) -> Iterator[pd.DataFrame]:
+    """Variants ``(tab, key, cid, n, sig, size)`` of classes ``(tab, cid, words, crowded)``: at step 0 all of the first size, at a
+    later one the extensions of those in ``crowded``, which has the crowded keys of all steps before."""
     words, counts = frequent
     sets: dict[tuple[int, int], np.ndarray] = {}
+    tabs, cids, keys, sizes, ns, sigs, held = [], [], [], [], [], [], 0
+
+    def out() -> pd.DataFrame:
+        reps = [len(k) for k in keys]
+        frame = {c: np.repeat(np.array(v, dtype=d), reps) for c, v, d in (("tab", tabs, np.int64), ("cid", cids, np.int64), ("n", ns, np.int32), ("sig", sigs, np.int64), ("size", sizes, np.int32))}
+        return pd.DataFrame({"tab": frame["tab"], "key": np.concatenate(keys), "cid": frame["cid"], "n": frame["n"], "sig": frame["sig"], "size": frame["size"]})
+
     for batch in batches:
-        keys, rows, n_of, sig_of = [], [], [], []
-        for at, w in enumerate(batch["words"]):
+        for tab, cid, w, crowd in zip(batch["tab"], batch["cid"], batch["words"], batch["crowded"]):
             w = np.asarray(w, dtype=np.int64)
             n = len(w)
-            sig_of.append(int(np.bitwise_or.reduce(np.left_shift(np.uint64(1), (w.view(np.uint64) % np.uint64(64)))).view(np.int64)))
-            n_of.append(n)
+            sig = int(np.bitwise_or.reduce(np.left_shift(np.uint64(1), (w.view(np.uint64) % np.uint64(64)))).view(np.int64))
             place = np.searchsorted(words, w)
             place[place == len(words)] = 0
             known = (words[place] == w) if len(words) else np.zeros(n, dtype=bool)
+            # rare words come first in the global order, so of the first shared words one is rare or none of all
             order = np.lexsort((w, np.where(known, counts[place] if len(words) else 0, 0)))
             mixed, known = _mix(w[order].view(np.uint64)), known[order]
             least = _least(threshold, n)
-            for size, low, high in SIZES:
-                if not low <= n < high:
-                    continue
-                # short texts share fewer words than a full variant has: a pair meets in the size of its smaller text, so
-                # the sizes of all smaller texts that may be similar are emitted too
-                sizes = range(min(size * widen, _least(threshold, _least(threshold, n))), min(size * widen, least) + 1)
-                rare = ~known[: min(n, n - least + sizes[-1])]
-                keys.append(mixed[: len(rare)][rare])
-                rows.append(np.full(int(rare.sum()), at))
-                for size in sizes:
-                    prefix = min(n, n - least + size)
-                    common = mixed[:prefix][~rare[:prefix]]
-                    q = len(common)
-                    if q < size:
-                        continue
+            for size in _first_sizes(n, threshold):
+                first = min(n, n - least + size)
+                rare = int((~known[:first]).sum())
+                common, q = mixed[rare:], first - rare
+                made: list[tuple[np.ndarray, int]] = [(_key(mixed[:rare], 1), 1)] if rare and not step else []
+                if q >= size:
                     if (q, size) not in sets:
-                        if len(sets) > 500:
+                        if len(sets) > 200:
                             sets.clear()
-                        sets[q, size] = np.array(list(combinations(range(q), size)), dtype=np.int64)
-                    with np.errstate(over="ignore"):  # a commutative hash of the set, other for every set size
-                        key = _mix(common[sets[q, size]].sum(axis=1, dtype=np.uint64) + np.uint64(size))
-                    keys.append(key)
-                    rows.append(np.full(len(key), at))
-        if not keys:
-            continue
-        at = np.concatenate(rows)
-        yield pd.DataFrame({
-            "tab": batch["tab"].to_numpy()[at], "key": np.concatenate(keys).view(np.int64), "cid": batch["cid"].to_numpy()[at],
-            "n": np.array(n_of, dtype=np.int32)[at], "sig": np.array(sig_of, dtype=np.int64)[at],
-        })
-
-
-def _meet(variants: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of classes that share a variant and pass the filters, each once."""
-    a = variants.select("tab", "key", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"))
-    b = variants.select("tab", "key", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb"))
-    met = a.join(b, ["tab", "key"]).where("a < b")
+                        sets[q, size] = np.array(list(combinations(range(q), size)), dtype=np.int32)
+                    combos = sets[q, size]
+                    with np.errstate(over="ignore"):
+                        sums = common[combos].sum(axis=1, dtype=np.uint64)
+                    if not step:
+                        made.append((_key(sums, size), size))
+                    else:
+                        crowd = np.asarray(crowd, dtype=np.int64)
+                        # a few variants at a time: their extensions are many where a long text has only frequent words
+                        for low in range(0, len(combos), 1 << 14):
+                            part, total = combos[low : low + (1 << 14)], sums[low : low + (1 << 14)]
+                            for k in range(step):
+                                part, total = _steps(common, part, total, size + k, crowd, min(n, n - least + size + k + 1) - rare)
+                                if not len(part):
+                                    break
+                            if len(part):
+                                made.append((_key(total, size + step), size + step))
+                                held += len(total)
+                                if held > _BATCH:
+                                    for key, s in made:
+                                        tabs.append(tab), cids.append(cid), keys.append(key), sizes.append(s), ns.append(n), sigs.append(sig)
+                                    yield out()
+                                    tabs, cids, keys, sizes, ns, sigs, held, made = [], [], [], [], [], [], 0, []
+                for key, s in made:
+                    tabs.append(tab), cids.append(cid), keys.append(key), sizes.append(s), ns.append(n), sigs.append(sig)
+                    held += len(key) if not step else 0
+            if held > _BATCH:
+                yield out()
+                tabs, cids, keys, sizes, ns, sigs, held = [], [], [], [], [], [], 0
+    if keys:
+        yield out()
+
+
+def _meet(variants: DataFrame, threshold: float, *by: str) -> DataFrame:
+    """Pairs of classes that share a variant (and agree in ``by``, a side's own size and its partner's) and pass the filters, each once."""
+    a = variants.select("tab", "key", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"), *(F.col(c).alias(f"_{i}") for i, c in enumerate(by)))
+    b = variants.select("tab", "key", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb"), *(F.col(c).alias(f"_{i}") for i, c in enumerate(reversed(by))))
+    met = a.join(b, ["tab", "key", *(f"_{i}" for i in range(len(by)))]).where("a < b")
     met = met.where((F.col("na") >= F.col("nb") * (threshold - 1e-9)) & (F.col("nb") >= F.col("na") * (threshold - 1e-9)))
     # words that differ: at most (1 - t) / (1 + t) of the sum of sizes; each differing bit needs one of its own
     apart = F.floor((F.col("na") + F.col("nb")) * ((1 - threshold) / (1 + threshold)) + 1e-9)
     return met.where(F.bit_count(F.col("sa").bitwiseXOR(F.col("sb"))) <= apart).select("tab", "a", "b").distinct()
 
 
+def _certain(crowded: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of classes in crowded variants that are similar by their sizes alone: each class asks for the sizes its partner may have."""
+    most = F.floor(F.col("size") * ((1 + threshold) / threshold) + 1e-9).cast("int") - F.col("n")
+    asked = crowded.where(most >= F.col("size")).withColumn("m", F.explode(F.sequence(F.col("size"), most)))
+    return _meet(asked, threshold, "n", "m")
+
+
+def _held(variants: DataFrame, label: str) -> DataFrame:
+    """Variants of more than one class, with their number of classes; those of one class are the most, and gone before pairs are made."""
+    held = variants.groupBy("tab", "key").agg(F.count("*").alias("held")).where("held > 1")
+    return cut(variants.join(held, ["tab", "key"]), label)
+
+
 def similar(reps: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``(source_table, a, b)``, a < b: the pairs of different classes that are similar."""
     sent = reps.sparkSession.sparkContext.broadcast(_frequent(reps))
-    schema = "tab bigint, key bigint, cid bigint, n int, sig bigint"
+    schema = "tab bigint, key bigint, cid bigint, n int, sig bigint, size int"
     reps = reps.withColumn("tab", F.xxhash64("source_table"))
     plain = reps.select("tab", "cid", "words")
-    variants = plain.mapInPandas(lambda batches: _variants(batches, sent.value, threshold, 1), schema)
-    # variants of one class only are the most; they are gone before the pairs are made
-    held = variants.withColumn("part", F.lit(1)).groupBy("tab", "key").agg(F.count("*").alias("held")).where("held > 1")
-    met = cut(variants.join(held, ["tab", "key"]).select("tab", "key", "cid", "n", "sig", "held"), "variants")
+    first = plain.withColumn("crowded", F.array().cast("array<bigint>"))
+    met = _held(first.mapInPandas(lambda batches: _variants(batches, sent.value, threshold, 0), schema), "variants")
     pairs = _meet(met.where(F.col("held") <= CROWD), threshold)
-    crowded = met.where(F.col("held") > CROWD).select("tab", "cid").distinct()
-    again = plain.join(crowded, ["tab", "cid"], "left_semi")
-    wide = again.mapInPandas(lambda batches: _variants(batches, sent.value, threshold, 2), schema)
-    pairs = pairs.unionByName(_meet(wide, threshold)).distinct()
+    step, known = 0, None
+    while True:
+        crowded = met.where(F.col("held") > CROWD)
+        if crowded.isEmpty():
+            break
+        step += 1
+        pairs = pairs.unionByName(_certain(crowded, threshold))
+        keys = crowded.select("tab", "cid", "key")
+        known = keys if known is None else known.unionByName(keys)
+        asked = known.join(keys.select("tab", "cid").distinct(), ["tab", "cid"], "left_semi").groupBy("tab", "cid").agg(F.collect_set("key").alias("crowded"))
+        again = plain.join(asked, ["tab", "cid"])
+        met = _held(again.mapInPandas(lambda batches, step=step: _variants(batches, sent.value, threshold, step), schema), f"variants{step}")
+        pairs = pairs.unionByName(_meet(met.where(F.col("held") <= CROWD), threshold))
+    pairs = pairs.distinct()
     words = reps.select("source_table", "tab", "cid", "k1", "words")
     a = words.select("source_table", "tab", F.col("cid").alias("a"), F.col("k1").alias("ka"), F.col("words").alias("wa"))
     b = words.select("tab", F.col("cid").alias("b"), F.col("k1").alias("kb"), F.col("words").alias("wb"))
@@ -168,9 +241,15 @@ def version_pairs(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     equal but for formatting. Null values and values without words have no pairs; a repeated id is one row."""
     reps, members = classes(rows)
     pairs = similar(reps, threshold)
-    a = members.select("source_table", F.col("cid").alias("a"), F.col("id").alias("x"))
-    b = members.select("source_table", F.col("cid").alias("b"), F.col("id").alias("y"))
-    out = pairs.join(a, ["source_table", "a"]).join(b, ["source_table", "b"])
+    # a class may hold a large share of all rows: its members are parts, and its pairs meet every part
+    large = members.groupBy("source_table", "cid").agg(F.ceil(F.count("*") / SPREAD).cast("int").alias("parts")).where("parts > 1")
+    parts = F.coalesce("parts", F.lit(1))
+    members = members.join(large, ["source_table", "cid"], "left").withColumn("part", F.pmod(F.xxhash64("id"), parts).cast("int"))
+    for side in ("a", "b"):
+        pairs = pairs.join(large.withColumnRenamed("cid", side), ["source_table", side], "left").withColumn(f"p{side}", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+    a = members.select("source_table", F.col("cid").alias("a"), F.col("part").alias("pa"), F.col("id").alias("x"))
+    b = members.select("source_table", F.col("cid").alias("b"), F.col("part").alias("pb"), F.col("id").alias("y"))
+    out = pairs.join(a, ["source_table", "a", "pa"]).join(b, ["source_table", "b", "pb"])
     return out.select("source_table", F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).distinct()
 
 
