@@ -1,11 +1,13 @@
 """Template residue, filler, error pages and script notices in place of content.
 
-Numbers, addresses, dates and request marks of a text are masked and the masked messages are grouped by
-their exact hash over all sources, so that a message is judged once however often it recurs. The phrase rules
-take a message of any length apart into sentences: it is residue if each sentence is a known kind of notice or its usual
-company (navigation, reference marks, advice to retry) and at least one is such a notice. One sentence in
-ten may be foreign, and one in a message that recurs in several sources. Slots of templates are found by their spelling
-in texts of any length; a slot that is spoken of (in an explanation) or used (in a script) is none.
+Numbers, addresses, dates and request marks of every text are masked and all masked messages, of any length, are
+grouped by their exact hash over all sources, so that a message is judged once however often it recurs. The phrase
+rules take a message apart into sentences. How much a rule asks for depends on how widely the message recurs:
+a message seen in few sources is residue if each sentence is a known kind of notice or its usual company (navigation,
+reference marks, advice to retry) and at least one is such a notice, one sentence in ten being free; one that recurs
+widely may have one foreign sentence, or be made of sentences that merely sound like notices (they speak of failures,
+refusals, browsers or waiting, or address the visitor) for more than half. Slots of templates are
+found by their spelling in texts of any length; a slot that is spoken of (in an explanation) or used (in a script) is none.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ from lexmill.shared import cut
 FOREIGN = 0.1
 #: A sentence that is a notice is not longer, filler apart; one that speaks of a notice mostly is.
 NOTICE_CHARS = 90
+#: Share of the sentences of a widely recurring message that have to sound like notices (more than).
+HINTED = 0.5
 #: A message is widely recurring from so many sources on.
 SOURCES = 3
 
@@ -57,6 +61,13 @@ _FILLER = [
 FILLER = "|".join(_FILLER)
 #: A sentence of invented Latin: Latin letters only, none of the words that English needs and Latin lacks, and a word of the filler.
 LATIN = r"^(?!.*\b(?:the|of|is|are|an|and|for|to|on|with|by|from|or|that|this)\b)(?=.*\b(?:ipsum|dolor|amet|consectetur|adipiscing|elit|vestibulum|pellentesque|nulla|quis|nec|eget|sed|vel|et|ut)\b)[a-z\s,;:'-]+$"
+# What notices speak of, as beginnings of words; evidence only for a message that recurs widely.
+_HINTS = (
+    "error", "fail", "unavailab", "denied", "forbidden", "refused", "disabled", "expired", "timed out", "timeout", "maintenance", "blocked", "not found", "not supported", "javascript", "cookie", "browser", "captcha", "redirect",
+    "sorry", "oops", "please", "try again", "retry", "reload", "refresh", "contact support", "ошибк", "сбой", "сбо", "неполадк", "недоступ", "запрещ", "отказано", "отклон", "истек", "истёк", "не отвеча", "не найден", "не поддержива",
+    "технически", "профилактическ", "заблокирован", "отключ", "браузер", "капч", "перенаправл", "извин", "пожалуйста", "попробуйте", "повторите", "обновите", "обратитесь", "подождите", "включите", "вернитесь", "скоро верн",
+)
+HINT = r"(?<![\p{L}\p{N}])(?:" + "|".join(_HINTS) + ")"
 NOTICE, COMPANY = "|".join(f"(?:{p})" for p in _NOTICES), "|".join(f"(?:{p})" for p in _COMPANY)
 #: Whether any notice may stand somewhere in a message; looked for at the beginnings of words only.
 _ANY_NOTICE = r"(?<![\p{L}\p{N}])(?:" + "|".join(f"(?:{p.removeprefix('^').removesuffix('$')})" for p in _NOTICES + _FILLER) + ")"
@@ -72,7 +83,7 @@ _SLOTS = [
 ]
 SLOT = "|".join(f"(?:{p})" for p in _SLOTS)
 #: Sentences that explain slots, and script lines that use them.
-SPOKEN = r"(?im)^[^\n.!?]*\b(?:например|вида|обозначают|обозначает|подстановк\w+|синтаксис\w*|for example|such as|e\.g\.|denotes?|stands? for|placeholders?|syntax)\b[^\n!?]*?(?=[.!?](?:\s|$)|\n|$)"
+SPOKEN = r"(?im)(?:^|(?<=[.!?…]\s))[^\n.!?]*\b(?:например|вида|обозначают|обозначает|подстановк\w+|синтаксис\w*|for example|such as|e\.g\.|denotes?|stands? for|placeholders?|syntax)\b[^\n!?]*?(?=[.!?](?:\s|$)|\n|$)"
 SCRIPT = r"(?m)(?:^|(?<=\s))(?:export \w+=|for \w+ in |echo |set |if \[ |while |curl |\$ )[^\n]*"
 # Words that running English or Russian text does not do without.
 _FUNCTION_WORDS = r"(?i)\b(the|of|is|are|an|and|for|to|in|on|with|by|from|at|or|that|this|и|в|на|с|для|не|по|к|при|из)\b"
@@ -106,6 +117,12 @@ def notice(message: Column, widely: Column) -> Column:
     return (hits > 0) & ((foreign <= F.size(parts) * FOREIGN) | (widely & (foreign == 1) & (hits >= foreign)))
 
 
+def sounds_like_notice(message: Column) -> Column:
+    """Whether most sentences of a masked message merely sound like a notice; for messages that recur widely only."""
+    parts = _sentences(message)
+    return F.exists(parts, lambda s: s.rlike(HINT)) & (F.size(F.filter(parts, lambda s: s.rlike(HINT) | s.rlike(COMPANY))) > F.size(parts) * HINTED)
+
+
 def slots_left(text: Column) -> Column:
     """Whether a text has unfilled slots that are neither explained nor part of a script."""
     bare = F.regexp_replace(F.regexp_replace(text, SCRIPT, " "), SPOKEN, " ")
@@ -128,11 +145,17 @@ def residue(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"))
     docs = docs.where("doc_id is not null").where(F.col("text").rlike(r"[^\s\x{A0}\x{3000}]"))
     messages = docs.select("doc_id", "source", masked(F.col("text")).alias("message"))
-    messages = messages.where(F.col("message").rlike(_ANY_NOTICE))
-    messages = cut(messages.select("doc_id", "source", "message", F.xxhash64("message").alias("h1"), F.hash("message").alias("h2")), "messages")
-    by_source = messages.groupBy("h1", "h2", "source").agg(F.first("message").alias("message"))
-    judged = by_source.groupBy("h1", "h2").agg(F.first("message").alias("message"), F.count("*").alias("sources"))
-    judged = judged.where(notice(F.col("message"), F.col("sources") >= SOURCES)).select("h1", "h2")
+    # all messages are grouped by their hash; the text itself goes along only where a phrase of a notice stands in it
+    hashes = F.xxhash64("message").alias("h1"), F.hash("message").alias("h2")
+    messages = cut(messages.select("doc_id", "source", *hashes, F.when(F.col("message").rlike(_ANY_NOTICE), F.col("message")).alias("message")), "messages")
+    # by source first, so that a message that holds a third of all rows is counted in parts
+    by_source = messages.groupBy("h1", "h2", "source").agg(F.max("message").alias("message"), F.min("doc_id").alias("doc_id"))
+    grouped = cut(by_source.groupBy("h1", "h2").agg(F.max("message").alias("message"), F.min("doc_id").alias("doc_id"), F.count("*").alias("sources")).where("message is not null or sources >= " + str(SOURCES)), "grouped")
+    judged = grouped.where("message is not null").where(notice(F.col("message"), F.col("sources") >= SOURCES)).select("h1", "h2")
+    # messages that recur widely are few; each is read again in one of its documents
+    wide = docs.join(grouped.where(F.col("sources") >= SOURCES).select("doc_id", F.col("h1").alias("w1"), F.col("h2").alias("w2")), "doc_id")
+    wide = wide.select("w1", "w2", masked(F.col("text")).alias("message")).where((F.xxhash64("message") == F.col("w1")) & (F.hash("message") == F.col("w2")))
+    judged = judged.unionByName(wide.where(sounds_like_notice(F.col("message"))).select(F.col("w1").alias("h1"), F.col("w2").alias("h2"))).distinct()
     notices = messages.join(judged, ["h1", "h2"], "left_semi").select("doc_id", F.lit("notice").alias("reason"))
     marked = docs.select("doc_id", F.when(slots_left(F.col("text")), "slots").when(pseudo_words(F.col("text")), "filler").alias("reason")).where("reason is not null")
     return marked.unionByName(notices).groupBy("doc_id").agg(F.max("reason").alias("reason"))
