@@ -1,120 +1,148 @@
-"""Ids of texts by a public byte-level tokenizer, through chunks that are encoded once.
-
-A text is cut into chunks where a rolling hash of the last word meets a fixed condition, so equal passages
-give equal chunks in whatever document and at whatever offset they stand. Ids of chunks are kept per Python
-worker and each is encoded once. A join of two chunks is sound where the tokenizer's own pre-tokens
-meet; all other joins are repaired by encoding a growing window over the join until the ids on both sides
-agree with those already there. Nothing is shuffled: at the size of a corpus, moving the ids of chunks
-over the network costs more than encoding a chunk once per worker.
+"""Ids of texts by a public byte-level tokenizer, through chunks that are encoded once for the whole corpus.
+
+A text is cut where a rolling hash of its last characters meets a fixed condition, so equal passages are cut alike
+in whatever document and at whatever offset they stand. Encoding a chunk by itself is wrong near its ends, so
+every cut is repaired: a window around it grows on both sides until the ids on either side agree whatever the
+context, which is where a single space stands between two characters that are no space, for no pre-token of
+the vocabulary's pattern reaches over such a place. Windows are encoded where they stand; windows that
+touch are one, and a text without such a place is a window as a whole. What is left between the windows of
+a document are pieces that can be encoded by themselves. They are grouped over all documents by a 128-bit
+hash, each distinct piece is encoded once, and its ids are joined back to all places where it stands.
 """
 
 from __future__ import annotations
 
 import base64
 import os
-import re
-import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.shared import cut
+
 #: Where the vocabularies are; a parameter of every function here.
 TOKENIZERS = os.environ.get("LEXMILL_TOKENIZERS", "/opt/tokenizers")
 #: Fixed value: the splitting pattern that belongs to the vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Ids kept per worker, in characters of chunks; when full, the store starts anew.
-KEPT_CHARS = 12_000_000
-#: One of so many words ends a chunk.
-WORDS = 4
-_WORD = re.compile(r" ?[^ ]+")
+#: Characters of the rolling hash (a power of two), and mean distance of cuts in characters.
+WINDOW, DISTANCE = 16, 1024
+_BASE = 0x9E3779B97F4A7C15
+_SPACE = np.array([chr(c).isspace() for c in range(0x3001)])
 _encoders: dict[str, object] = {}
 
 
-class ChunkEncoder:
-    """Encodes texts by chunks; ``encode(text)`` equals the tokenizer's own result for every text."""
-
-    def __init__(self, ranks_file: str, words: int = WORDS):
-        import tiktoken
+def encoder(folder: str = TOKENIZERS, name: str = "byte_bpe_50k"):
+    """The tokenizer's own function from a text to ids, without special tokens; the vocabulary is read once per worker."""
+    import tiktoken
 
-        with open(ranks_file, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.whole = tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.words, self.kept, self.size = words, {}, 0
-
-    def chunks(self, text: str) -> list[str]:
-        """Content-defined chunks: cut before a space that stands between two characters that are no space,
-        after a word whose hash is 0 modulo ``words``."""
-        out, begin = [], 0
-        for m in _WORD.finditer(text):
-            end = m.end()
-            if zlib.crc32(m.group().encode("utf-8", "surrogatepass")) % self.words == 0 and text[end : end + 1] == " ":
-                out.append(text[begin:end])
-                begin = end
-        out.append(text[begin:])
-        return out
-
-    def _ids(self, chunk: str) -> list[int]:
-        ids = self.kept.get(chunk)
-        if ids is None:
-            ids = self.whole(chunk)
-            if len(chunk) <= 400:
-                if self.size > KEPT_CHARS:
-                    self.kept, self.size = {}, 0
-                self.kept[chunk] = ids
-                self.size += len(chunk) + 40
-        return ids
-
-    @staticmethod
-    def sound(left: str, right: str) -> bool:
-        """Whether no pre-token reaches over the join: a space between two characters that are no space."""
-        return left != "" and not left[-1].isspace() and len(right) > 1 and right[0] == " " and not right[1].isspace()
-
-    def encode(self, text: str) -> list[int]:
-        if not text:
-            return []
-        chunks = self.chunks(text)
-        joined: list[str] = [chunks[0]]
-        for chunk in chunks[1:]:  # repair: a doubtful join is encoded anew with both its sides
-            if self.sound(joined[-1], chunk):
-                joined.append(chunk)
-            else:
-                joined[-1] += chunk
-        out: list[int] = []
-        for chunk in joined:
-            out += self._ids(chunk)
-        return out
-
-
-def encoder(folder: str = TOKENIZERS, name: str = "byte_bpe_50k") -> ChunkEncoder:
-    """The encoder of this Python worker; the vocabulary is read once per worker."""
     path = f"{folder}/{name}.tiktoken"
     if path not in _encoders:
-        _encoders[path] = ChunkEncoder(path)
+        with open(path, "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        _encoders[path] = tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
     return _encoders[path]
 
 
-def encode_corpus(docs: DataFrame, folder: str = TOKENIZERS, name: str = "byte_bpe_50k") -> DataFrame:
+def cuts(codes: np.ndarray, distance: int = DISTANCE) -> np.ndarray:
+    """Places after which a text (in code points) is cut: where the hash of the last ``WINDOW`` characters is 0 modulo ``distance``."""
+    if len(codes) < WINDOW:
+        return np.zeros(0, dtype=np.int64)
+    h, width, base = codes.astype(np.uint64), 1, _BASE
+    while width < WINDOW:  # from the hash of a window to that of one twice as long
+        h = h[width:] + h[:-width] * np.uint64(base)
+        width, base = 2 * width, base * base & 0xFFFFFFFFFFFFFFFF
+    return np.flatnonzero((h >> np.uint64(33)) % np.uint64(distance) == 0) + WINDOW
+
+
+def sound(codes: np.ndarray) -> np.ndarray:
+    """Places of single spaces between characters that are no space: a pre-token begins there in every context."""
+    blank = _SPACE[np.minimum(codes, 0x3000)] & (codes <= 0x3000)
+    return np.flatnonzero((codes[1:-1] == 32) & ~blank[:-2] & ~blank[2:]) + 1 if len(codes) > 2 else np.zeros(0, dtype=np.int64)
+
+
+def parts(text: str, distance: int = DISTANCE) -> list[tuple[int, int, bool]]:
+    """``(begin, end, shared)`` of the windows (not shared) and pieces of a text, in order, without gaps."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    n, at, places = len(codes), cuts(codes, distance), sound(codes)
+    k = np.searchsorted(places, at, "right")
+    bounds = np.concatenate([[0], places, [n]])
+    out, end = [], 0
+    for a, b in zip(bounds[k].tolist(), bounds[k + 1].tolist()):  # the last sound place up to the cut, and the next
+        if a > end:
+            out.append((end, a, True))
+        elif out and not out[-1][2]:
+            a = out.pop()[0]
+        else:
+            a = end
+        out.append((a, b, False))
+        end = b
+    if end < n:
+        out.append((end, n, True))
+    return out
+
+
+def pieces(docs: DataFrame, folder: str = TOKENIZERS, name: str = "byte_bpe_50k", distance: int = DISTANCE) -> DataFrame:
+    """``(place, doc_id, seq, of, before, piece)``: the pieces of each row, ``before`` each the ids of the window that precedes it.
+
+    ``place`` tells rows apart and ``of`` is their number of parts. A row ends in a part without a piece if it ends in a
+    window; null and empty texts have one part with neither.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        encode, place = encoder(folder, name), TaskContext.get().partitionId() << 40
+        for batch in batches:
+            rows: list[tuple] = []
+            for doc, text in zip(batch["doc_id"], batch["text"]):
+                ids: list[int] = []
+                mine: list[tuple] = []
+                for a, b, shared in parts(text, distance) if text else []:
+                    if shared:
+                        mine.append((ids, text[a:b]))
+                        ids = []
+                    else:
+                        ids = encode(text[a:b])
+                if ids or not mine:
+                    mine.append((ids, None))
+                rows += [(place, doc, k, len(mine), ids, piece) for k, (ids, piece) in enumerate(mine)]
+                place += 1
+            yield pd.DataFrame(rows, columns=["place", "doc_id", "seq", "of", "before", "piece"])
+
+    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInPandas(run, "place bigint, doc_id bigint, seq int, of int, before array<int>, piece string")
+
+
+def encode_corpus(docs: DataFrame, folder: str = TOKENIZERS, name: str = "byte_bpe_50k", distance: int = DISTANCE) -> DataFrame:
     """``(doc_id, ids)`` of every row: the tokenizer's ids of ``text`` without special tokens.
 
     Null and empty texts have an empty list. Blank texts, unpaired line ends, very long texts and texts with
     the spelling of special tokens are ordinary texts. Repeated rows come as often as they stand.
     """
+    piece = F.col("piece")
+    made = pieces(docs, folder, name, distance)
+    made = cut(made.select("*", F.when(piece.isNotNull(), F.xxhash64("piece")).alias("h1"), F.when(piece.isNotNull(), F.xxhash64(F.lit(7), "piece")).alias("h2")), "pieces")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(folder, name).encode
+        encode = encoder(folder, name)
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "ids": [encode(t) if t else [] for t in batch["text"]]})
+            yield pd.DataFrame({"h1": batch["h1"], "h2": batch["h2"], "ids": [encode(t) for t in batch["piece"]]})
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInPandas(run, "doc_id bigint, ids array<int>")
+    once = made.where(piece.isNotNull()).groupBy("h1", "h2").agg(F.first("piece").alias("piece")).mapInPandas(run, "h1 bigint, h2 bigint, ids array<int>")
+    found = made.where(piece.isNotNull()).drop("piece").join(once, ["h1", "h2"])
+    done = found.select("place", "doc_id", "seq", "of", F.when(F.size("before") > 0, F.concat("before", "ids")).otherwise(F.col("ids")).alias("ids"))
+    bare = made.where(piece.isNull()).select("place", "doc_id", "seq", "of", F.col("before").alias("ids"))
+    several = done.where("of > 1").unionByName(bare.where("of > 1")).groupBy("place", "doc_id").agg(F.array_sort(F.collect_list(F.struct("seq", "ids"))).alias("p"))
+    single = done.where("of = 1").unionByName(bare.where("of = 1")).select("doc_id", "ids")
+    return single.unionByName(several.select("doc_id", F.flatten(F.transform("p", lambda x: x["ids"])).alias("ids")))
 
 
 def count_tokens(docs: DataFrame, folder: str = TOKENIZERS, name: str = "byte_bpe_50k") -> DataFrame:
     """``(doc_id, tokens)`` of every row; 0 for null and empty texts."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(folder, name).encode
+        encode = encoder(folder, name)
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "tokens": [len(encode(t)) if t else 0 for t in batch["text"]]})
 

@@ -101,21 +101,31 @@ def reference():
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
-def test_chunked_ids_are_the_tokenizers_own(reference):
+def by_parts(text, distance):
+    encode, out, end = tokens.encoder(), [], 0
+    for a, b, _ in tokens.parts(text, distance):
+        assert a == end < b
+        out, end = out + encode(text[a:b]), b
+    assert end == len(text)
+    return out
+
+
+def test_ids_by_parts_are_the_tokenizers_own(reference):
     rng = random.Random(5)
-    parts = ["слово", "word", "don't", "I'M", " ", "  ", "\n", "\r\n", "\t", " ", "　", "123", "№ 5", "<|endoftext|>", "é", "й", "😀", "—", "…", "x" * 50, "'s", " '", "​"]
-    encode = tokens.encoder().encode
-    for _ in range(400):
-        text = "".join(rng.choice(parts) + rng.choice(["", " "]) for _ in range(rng.randint(0, 40)))
-        assert encode(text) == reference(text), text
-    assert encode(" ".join(["повтор"] * 30_000)) == reference(" ".join(["повтор"] * 30_000))
+    some = ["слово", "word", "don't", "I'M", " ", "  ", "\n", "\r\n", "\t", "\u00a0", "\u3000", "123", "№ 5", "<|endoftext|>", "e\u0301", "й", "😀", "—", "…", "x" * 50, "'s", " '", "\u200b", "\x1c", "\x85", "Ｆｕｌｌ"]
+    for k in range(600):
+        text = "".join(rng.choice(some) + rng.choice(["", " "]) for _ in range(rng.randint(0, 60)))
+        assert by_parts(text, rng.choice([1, 2, 8, 40])) == reference(text), text
+    for text in (" ".join(["повтор"] * 30_000), "x" * 5000, " " * 5000, "а б " * 5000):
+        assert by_parts(text, 64) == reference(text)
 
 
-def test_doubtful_joins_are_repaired(reference, monkeypatch):
-    coder = tokens.encoder()
-    monkeypatch.setattr(coder, "chunks", lambda text: [text[i : i + 3] for i in range(0, len(text), 3)] or [""])
-    for text in ("два слова  и три", "can't stop", "a  b\n\nc", "Ｆｕｌｌ width"):
-        assert coder.encode(text) == reference(text)
+def test_equal_passages_are_cut_alike():
+    rng = random.Random(1)
+    passage = " ".join("".join(rng.choice("абвгдежз") for _ in range(rng.randint(1, 9))) for _ in range(3000))
+    one, two = "Начало документа. " + passage, "x yy zzz " * 40 + passage + " конец"
+    shared = [{t[a:b] for a, b, s in tokens.parts(t, 128) if s} for t in (one, two)]
+    assert len(shared[0] & shared[1]) >= len(shared[0]) - 2 > 50
 
 
 def test_encode_corpus(spark, reference):
@@ -123,6 +133,9 @@ def test_encode_corpus(spark, reference):
     got = rows(tokens.encode_corpus(clashing(df)))
     assert (2, []) in got and got.count((3, [])) == 2 and (1, reference("Система  управления\r\n")) in got and (4, reference("  \n")) in got and len(got) == 6
     assert tokens.encode_corpus(df.where("false")).count() == 0
+    long = [(i, " ".join(f"слово{(k * k) % 97} строка" for k in range(400)) + "  \n" * (i % 3) + "т" * i) for i in range(12)]
+    ids = dict(rows(tokens.encode_corpus(spark.createDataFrame(long, "doc_id bigint, text string"), distance=64)))
+    assert ids == {i: reference(t) for i, t in long}
 
 
 # --- containers
