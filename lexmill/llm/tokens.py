@@ -6,8 +6,10 @@ every cut is repaired: a window around it grows on both sides until the ids on e
 context, which is where a single space stands between two characters that are no space, for no pre-token of
 the vocabulary's pattern reaches over such a place. Windows are encoded where they stand; windows that
 touch are one, and a text without such a place is a window as a whole. What is left between the windows of
-a document are pieces that can be encoded by themselves. They are grouped over all documents by a 128-bit
-hash, each distinct piece is encoded once, and its ids are joined back to all places where it stands.
+a document are pieces that can be encoded by themselves. Equal pieces of all documents are brought together by
+a 128-bit hash and encoded once there, so their ids need no join; the parts of a document meet again by
+its place. A piece that a large share of all documents holds makes a partition that the adaptive rebalancing
+splits, and is then encoded once for each split. Ids travel as packed binary.
 """
 
 from __future__ import annotations
@@ -22,8 +24,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.shared import cut
-
 #: Where the vocabularies are; a parameter of every function here.
 TOKENIZERS = os.environ.get("LEXMILL_TOKENIZERS", "/opt/tokenizers")
 #: Fixed value: the splitting pattern that belongs to the vocabulary.
@@ -85,8 +85,12 @@ def parts(text: str, distance: int = DISTANCE) -> list[tuple[int, int, bool]]:
     return out
 
 
+def _packing(encode) -> str:
+    return "<u2" if encode.__self__.n_vocab <= 1 << 16 else "<u4"
+
+
 def pieces(docs: DataFrame, folder: str = TOKENIZERS, name: str = "byte_bpe_50k", distance: int = DISTANCE) -> DataFrame:
-    """``(place, doc_id, seq, of, before, piece)``: the pieces of each row, ``before`` each the ids of the window that precedes it.
+    """``(place, doc_id, seq, of, before, piece)``: the pieces of each row, ``before`` each the packed ids of the window that precedes it.
 
     ``place`` tells rows apart and ``of`` is their number of parts. A row ends in a part without a piece if it ends in a
     window; null and empty texts have one part with neither.
@@ -94,24 +98,24 @@ def pieces(docs: DataFrame, folder: str = TOKENIZERS, name: str = "byte_bpe_50k"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode, place = encoder(folder, name), TaskContext.get().partitionId() << 40
+        packing = _packing(encode)
         for batch in batches:
             rows: list[tuple] = []
             for doc, text in zip(batch["doc_id"], batch["text"]):
-                ids: list[int] = []
-                mine: list[tuple] = []
+                before, mine = b"", []
                 for a, b, shared in parts(text, distance) if text else []:
                     if shared:
-                        mine.append((ids, text[a:b]))
-                        ids = []
+                        mine.append((before, text[a:b]))
+                        before = b""
                     else:
-                        ids = encode(text[a:b])
-                if ids or not mine:
-                    mine.append((ids, None))
-                rows += [(place, doc, k, len(mine), ids, piece) for k, (ids, piece) in enumerate(mine)]
+                        before = np.array(encode(text[a:b]), dtype=packing).tobytes()
+                if before or not mine:
+                    mine.append((before, None))
+                rows += [(place, doc, k, len(mine), *x) for k, x in enumerate(mine)]
                 place += 1
             yield pd.DataFrame(rows, columns=["place", "doc_id", "seq", "of", "before", "piece"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInPandas(run, "place bigint, doc_id bigint, seq int, of int, before array<int>, piece string")
+    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInPandas(run, "place bigint, doc_id bigint, seq int, of int, before binary, piece string")
 
 
 def encode_corpus(docs: DataFrame, folder: str = TOKENIZERS, name: str = "byte_bpe_50k", distance: int = DISTANCE) -> DataFrame:
@@ -120,22 +124,33 @@ def encode_corpus(docs: DataFrame, folder: str = TOKENIZERS, name: str = "byte_b
     Null and empty texts have an empty list. Blank texts, unpaired line ends, very long texts and texts with
     the spelling of special tokens are ordinary texts. Repeated rows come as often as they stand.
     """
-    piece = F.col("piece")
-    made = pieces(docs, folder, name, distance)
-    made = cut(made.select("*", F.when(piece.isNotNull(), F.xxhash64("piece")).alias("h1"), F.when(piece.isNotNull(), F.xxhash64(F.lit(7), "piece")).alias("h2")), "pieces")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def once(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = encoder(folder, name)
+        packing, key, packed = _packing(encode), None, b""
+        for batch in batches:
+            out = []
+            for h1, h2, before, piece in zip(batch["h1"], batch["h2"], batch["before"], batch["piece"]):
+                if piece is None:
+                    out.append(before)
+                    continue
+                if (h1, h2) != key:  # equal pieces stand one after another
+                    key, packed = (h1, h2), np.array(encode(piece), dtype=packing).tobytes()
+                out.append(before + packed)
+            yield batch[["place", "doc_id", "seq", "of"]].assign(packed=out)
+
+    def joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        packing = _packing(encoder(folder, name))
         for batch in batches:
-            yield pd.DataFrame({"h1": batch["h1"], "h2": batch["h2"], "ids": [encode(t) for t in batch["piece"]]})
-
-    once = made.where(piece.isNotNull()).groupBy("h1", "h2").agg(F.first("piece").alias("piece")).mapInPandas(run, "h1 bigint, h2 bigint, ids array<int>")
-    found = made.where(piece.isNotNull()).drop("piece").join(once, ["h1", "h2"])
-    done = found.select("place", "doc_id", "seq", "of", F.when(F.size("before") > 0, F.concat("before", "ids")).otherwise(F.col("ids")).alias("ids"))
-    bare = made.where(piece.isNull()).select("place", "doc_id", "seq", "of", F.col("before").alias("ids"))
-    several = done.where("of > 1").unionByName(bare.where("of > 1")).groupBy("place", "doc_id").agg(F.array_sort(F.collect_list(F.struct("seq", "ids"))).alias("p"))
-    single = done.where("of = 1").unionByName(bare.where("of = 1")).select("doc_id", "ids")
-    return single.unionByName(several.select("doc_id", F.flatten(F.transform("p", lambda x: x["ids"])).alias("ids")))
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "ids": [np.frombuffer(b"".join(x["packed"] for x in p), dtype=packing).astype(np.int32) for p in batch["p"]]})
+
+    made = pieces(docs, folder, name, distance)
+    # parts without a piece are spread by their place
+    made = made.withColumn("h1", F.xxhash64(F.coalesce("piece", F.col("place").cast("string")))).withColumn("h2", F.xxhash64(F.lit(7), "piece"))
+    together = made.hint("rebalance", "h1", "h2").sortWithinPartitions("h1", "h2")
+    done = together.mapInPandas(once, "place bigint, doc_id bigint, seq int, of int, packed binary")
+    whole = done.groupBy("place").agg(F.first("doc_id").alias("doc_id"), F.array_sort(F.collect_list(F.struct("seq", "packed"))).alias("p"))
+    return whole.select("doc_id", "p").mapInPandas(joined, "doc_id bigint, ids array<int>")
 
 
 def count_tokens(docs: DataFrame, folder: str = TOKENIZERS, name: str = "byte_bpe_50k") -> DataFrame:
