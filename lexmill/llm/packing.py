@@ -1,9 +1,11 @@
 """Containers of fixed capacity by hierarchical residual packing.
 
-Each partition packs its items best-fit in decreasing order. Nearly full containers are final; the others
-go on as items of their own to a round with fewer partitions, until one partition is left. No round
-gives a task more than a bounded number of containers to take on: what is beyond ``CARRY`` per partition,
-fullest first, is final as it stands. Containers are never opened again, so an item is moved once.
+Sizes and ids are mixed by hash, so that sorted input gives every partition all kinds of items, and each partition
+packs its items best-fit in decreasing order. Nearly full containers are final; the others, all of
+them, go on as items of their own to a round with fewer partitions, mixed by hash so that each sees all kinds
+of rests, until one partition is left. A round has so many partitions that none takes on more than about
+``CARRY`` containers. Where that number does not fall any more (rests that fit nothing, as of items above
+half the capacity) a last round leaves them as they are. Containers are never opened again.
 """
 
 from __future__ import annotations
@@ -20,10 +22,10 @@ from lexmill.shared import cut
 CAPACITY = 2048
 #: A container filled to this share is final.
 NEARLY_FULL = 0.998
-#: Partitions of a round are merged by so many.
-FAN_IN = 16
-#: Containers a partition may hand to the next round.
+#: Containers that a partition of a later round takes on, about.
 CARRY = 20_000
+#: A round that leaves more than this share of its containers open makes no progress.
+STUCK = 0.99
 _SCHEMA = "container string, part int, used int, members array<struct<doc_id:bigint,part_no:int,tokens:int>>"
 
 
@@ -66,7 +68,7 @@ def pack(sizes: DataFrame, capacity: int = CAPACITY, nearly_full: float = NEARLY
     )
     bins = items.select(F.lit("").alias("container"), F.lit(0).alias("part"), F.col("tokens").alias("used"), F.array(F.struct("doc_id", "part_no", "tokens")).alias("members"))
 
-    def round_of(parts: int, number: int):
+    def round_of(number: int):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             here = TaskContext.get().partitionId()
             used: list[int] = []
@@ -75,24 +77,28 @@ def pack(sizes: DataFrame, capacity: int = CAPACITY, nearly_full: float = NEARLY
                 used += batch["used"].tolist()
                 members += batch["members"].tolist()
             made = [(sum(used[i] for i in b), [m for i in b for m in members[i]]) for b in best_fit(used, capacity)]
-            made.sort(key=lambda x: x[0])
             for at in range(0, len(made), 2000):
-                rows = [(f"{number}-{here}-{at + k}", -1 if parts == 1 or u >= nearly_full * capacity or at + k >= CARRY else 0, u, m) for k, (u, m) in enumerate(made[at : at + 2000])]
+                rows = [(f"{number}-{here}-{at + k}", -1 if u >= nearly_full * capacity else 0, u, m) for k, (u, m) in enumerate(made[at : at + 2000])]
                 yield pd.DataFrame(rows, columns=["container", "part", "used", "members"])
 
         return run
 
-    done: list[DataFrame] = []
-    parts, local, number = bins.rdd.getNumPartitions(), True, 0
+    mixed = bins.repartition(F.expr("xxhash64(members[0].doc_id, members[0].part_no)"))
+    made = cut(mixed.mapInPandas(round_of(0), _SCHEMA), "bins")
+    done, number, before = [made.where("part = -1")], 0, None
     while True:
-        if not local:
-            bins = bins.repartition(parts, F.expr("xxhash64(members[0].doc_id, members[0].part_no)"))
-        made = cut(bins.mapInPandas(round_of(parts if not local else max(parts, 2), number), _SCHEMA), "bins")
-        if parts == 1 and not local:
+        bins = made.where("part = 0")
+        left, number = bins.count(), number + 1
+        parts = max(1, -(-left // CARRY))
+        if parts > 1 and before is not None and left > before * STUCK:
+            done.append(bins)
+            break
+        bins = bins.repartition(parts, F.expr(f"xxhash64({number}, members[0].doc_id, members[0].part_no)"))
+        made, before = cut(bins.mapInPandas(round_of(number), _SCHEMA), "bins"), left
+        if parts == 1:
             done.append(made)
             break
         done.append(made.where("part = -1"))
-        bins, parts, local, number = made.where("part = 0"), max(1, parts // FAN_IN), False, number + 1
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)

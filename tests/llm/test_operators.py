@@ -156,6 +156,16 @@ def test_containers(spark):
     assert packing.pack(df.where("false")).count() == 0
 
 
+def test_no_container_is_left_behind(spark, monkeypatch):
+    """More open containers than a task takes on, sorted so that those that fill each other begin far apart."""
+    monkeypatch.setattr(packing, "CARRY", 40)
+    df = spark.createDataFrame([(i, 1500 if i < 400 else 548) for i in range(800)], "doc_id bigint, tokens int").repartitionByRange(6, "doc_id")
+    out = packing.pack(df)
+    assert out.select("container").distinct().count() <= 420 and out.count() == 800
+    stuck = spark.createDataFrame([(i, 1100) for i in range(300)], "doc_id bigint, tokens int")
+    assert packing.pack(stuck).select("container").distinct().count() == 300
+
+
 def test_best_fit_takes_the_fullest_container():
     assert packing.best_fit([6, 5, 4, 4, 1], 10) == [[0, 2], [1, 3, 4]]
 
