@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 CYRILLIC_LATIN = {
     "а": "a", "в": "b", "е": "e", "к": "k", "м": "m", "н": "h", "о": "o", "р": "p", "с": "c", "т": "t", "у": "y", "х": "x",
     "А": "A", "В": "B", "Е": "E", "З": "3", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "У": "Y", "Х": "X",
-    "і": "i", "І": "I", "ј": "j", "Ј": "J", "ѕ": "s", "Ѕ": "S", "һ": "h", "ԁ": "d", "ԛ": "q", "ԝ": "w", "Ү": "Y", "п": "n", "г": "r", "и": "u",
-    "Ғ": "F", "Ԍ": "G", "ӏ": "l", "Ӏ": "I", "Ӏ": "I", "ё": "ë", "Ё": "Ë", "ї": "ï", "Ї": "Ï",
+    "і": "i", "І": "I", "ј": "j", "Ј": "J", "ѕ": "s", "Ѕ": "S", "һ": "h", "ԁ": "d", "ԛ": "q", "ԝ": "w", "Ү": "Y",
+    "Ғ": "F", "Ԍ": "G", "ӏ": "l", "Ӏ": "I", "ё": "ë", "Ё": "Ë", "ї": "ï", "Ї": "Ï",
 }
 GREEK_LATIN = {
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X",
@@ -83,10 +83,28 @@ def _one_alphabet(word: str) -> str:
     return "".join(_TO[to].get(c, c) if s not in (to, "?") else c for c, s in zip(word, scripts))
 
 
+def _joining() -> frozenset[str]:
+    """Characters whose quick-check value is MAYBE: they may compose with what stands before (the second halves of
+    canonical pairs, and the vowels and final consonants of Hangul syllables)."""
+    out = {chr(c) for a, b in ((0x1161, 0x1176), (0x11A8, 0x11C3)) for c in range(a, b)}
+    for c in range(0xC0, 0x12000):
+        pair = unicodedata.decomposition(chr(c)).split()
+        if len(pair) == 2 and not pair[0].startswith("<"):
+            out.add(chr(int(pair[1], 16)))
+    return frozenset(out)
+
+
+_JOINING = _joining()
+
+
+def _joins(ch: str) -> bool:
+    return ch in _JOINING or unicodedata.combining(ch) != 0
+
+
 def _unstable(ch: str) -> bool:
     if ch in _KEPT or ch.isascii():
         return False
-    return ch in _DROPPED or ch in _HYPHENS or unicodedata.combining(ch) != 0 or (ch.isspace() and ch not in "\t\n\r") or not unicodedata.is_normalized("NFKC", ch)
+    return ch in _DROPPED or ch in _HYPHENS or _joins(ch) or (ch.isspace() and ch not in "\t\n\r") or not unicodedata.is_normalized("NFKC", ch)
 
 
 def _canonical_segment(segment: str) -> str:
@@ -110,8 +128,8 @@ def consistent(text: str) -> str:
             i += 1
             continue
         a = i
-        if unicodedata.combining(text[i]):  # boundary context: the base before
-            while a > at and (unicodedata.combining(text[a]) or text[a] in _DROPPED):
+        if _joins(text[i]):  # boundary context: the base before
+            while a > at and (_joins(text[a]) or text[a] in _DROPPED):
                 a -= 1
         b = i + 1
         while b < n and _unstable(text[b]):

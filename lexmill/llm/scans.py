@@ -1,9 +1,11 @@
 """Noise of scanning: broken words, misread characters, running headings and page numbers.
 
 Misread words: all words are grouped by a skeleton in which glyphs that scanning confuses are one; the frequent
-form of a group stands, and a form that is rare beside it, or that mixes letters with digits or alphabets,
-is a misreading of it. Of several frequent forms of one skeleton the one that the word before supports
-is taken. The frequent forms are bounded in number, so they are broadcast; no list of rare words is.
+forms of a group stand, and a form that is rare beside them, or that mixes letters with digits or alphabets,
+is a misreading. One rule finds and repairs. Of several frequent forms of one skeleton the repair takes the one that
+the word before it supports most, by the counts of both together in all texts, and on ties the more frequent;
+which rows are found does not depend on that choice. All frequent forms count, however many: tables of forms are
+broadcast only if they were counted to be small, and joined otherwise.
 
 Headings: digits are masked and the segments at the edges of a document's pages, or standing between wide
 gaps or line breaks inside its rows, are counted per document; what recurs is a heading. First words of
@@ -15,18 +17,18 @@ and lines flowed into paragraphs, whose starts are found by windows over the lin
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lexmill.shared import cut
 
-#: Most frequent forms that are broadcast; with some 40 bytes each this is 4 MB at most.
+#: Forms that are broadcast at most, some 60 bytes each; more of them are joined by a shuffle.
 FORMS = 100_000
 #: A form is frequent from so many occurrences on.
 FREQUENT = 20
@@ -61,11 +63,9 @@ def skeleton(word: Column) -> Column:
     return F.when(word.rlike(r"[а-яё]"), _translated(word, _CYRILLIC_GROUPS, _CYRILLIC_MAP)).otherwise(_translated(word, _LATIN_GROUPS, _LATIN_MAP))
 
 
-def _skeleton(word: str) -> str:
-    groups, mapping = (_CYRILLIC_GROUPS, _CYRILLIC_MAP) if re.search("[а-яё]", word) else (_LATIN_GROUPS, _LATIN_MAP)
-    for a, b in groups:
-        word = word.replace(a, b)
-    return "".join(mapping.get(c, c) for c in word)
+def _sized(forms: DataFrame) -> DataFrame:
+    """A written table of forms, to be broadcast if it was counted to have at most ``FORMS`` rows."""
+    return F.broadcast(forms) if forms.limit(FORMS + 1).count() <= FORMS else forms
 
 
 def values(terms: DataFrame, abbreviations: DataFrame, pages: DataFrame) -> DataFrame:
@@ -89,33 +89,60 @@ def _words(text: Column) -> Column:
 
 
 def frequent_forms(vals: DataFrame) -> DataFrame:
-    """``(form, n, skeleton, best, best_n)``: the frequent forms of one alphabet, at most ``FORMS``; ``best`` is the
-    most frequent form of the skeleton. Forms that are rare beside it are left out."""
+    """``(form, n, skeleton, best, best_n)``: the frequent forms of one alphabet; ``best`` is the most frequent form of the
+    skeleton. Forms that are rare beside it are left out."""
     words = vals.select(F.explode(_words(F.col("text"))).alias("w")).where(F.col("w").rlike(r"^(?:[А-ЯЁ]?[а-яё]{2,}|[A-Z]?[a-z]{2,})$"))
     # names start with a capital; a word that is also written small is a common word
     counted = words.groupBy(F.lower("w").alias("form")).agg(F.count("*").alias("n"), F.sum(F.col("w").rlike(r"^\p{Ll}").cast("int")).alias("small"))
-    counted = counted.where((F.col("n") >= FREQUENT) & (F.col("small") >= F.col("n") * 0.3)).select("form", "n")
-    top = cut(counted.orderBy(F.desc("n"), "form").limit(FORMS), "forms").withColumn("skeleton", skeleton(F.col("form")))
+    counted = counted.where((F.col("n") >= FREQUENT) & (F.col("small") >= F.col("n") * 0.3)).select("form", "n", skeleton(F.col("form")).alias("skeleton"))
     group = W.partitionBy("skeleton")
-    top = top.withColumn("best_n", F.max("n").over(group)).where(F.col("n") > F.col("best_n") * RARE_SHARE)
-    return top.withColumn("best", F.max_by("form", F.struct("n", "form")).over(group))
+    top = counted.withColumn("best_n", F.max("n").over(group)).where(F.col("n") > F.col("best_n") * RARE_SHARE)
+    return cut(top.withColumn("best", F.max_by("form", F.struct("n", "form")).over(group)), "forms")
 
 
-def misread(vals: DataFrame) -> DataFrame:
-    """Keys of the values that hold a misread word."""
-    forms = frequent_forms(vals)
-    words = vals.select(*_KEY, F.explode(F.array_distinct(_words(F.col("text")))).alias("w"))
+def _misread(words: DataFrame, forms: DataFrame) -> DataFrame:
+    """Of ``words`` with ``w`` those that are misread, with ``form`` in small letters, ``skeleton`` and ``best`` (null: unknown)."""
     # forms of codes (capitals and numbers), numbers with units, and names written in one alphabet cannot be judged
     words = words.where(~F.col("w").rlike(r"^(?:\p{Lu}[\p{Ll}ё]+|[\p{Lu}\p{N}/|]*)$|^\p{N}+[/|]?\p{L}+$|/\p{L}{2,}|^[/|]|[/|]$") | F.col("w").rlike(r"^\p{Lu}\p{Ll}{3,}$|/[1l]"))
     words = words.withColumn("form", F.lower("w")).where(F.length("form") >= 3)
-    rest = words.join(F.broadcast(forms.select("form")), "form", "left_anti").withColumn("skeleton", skeleton(F.col("form")))
+    rest = words.join(_sized(forms.select("form")), "form", "left_anti").withColumn("skeleton", skeleton(F.col("form")))
     mixed = F.col("form").rlike(r"[а-яё][a-z]|[a-z][а-яё]")
     odd = F.col("form").rlike(r"\p{L}[\p{N}|/]+\p{L}|^[\p{N}|]\p{Ll}{3}|\p{Ll}{3}[\p{N}|]$")
-    best = forms.where("form = best").select("skeleton", "best", "best_n")
-    rest = rest.join(F.broadcast(best), "skeleton", "left")
+    rest = rest.join(_sized(forms.where("form = best").select("skeleton", "best", "best_n")), "skeleton", "left")
     capital = F.col("w").rlike(r"^\p{Lu}")
     known = F.col("best").isNotNull() & (F.length("form") >= 4) & (~capital | mixed | odd | (F.col("best_n") >= 10 * FREQUENT))
-    return rest.where(mixed | known).select(*_KEY).distinct()
+    return rest.where(mixed | known)
+
+
+def misread(vals: DataFrame) -> DataFrame:
+    """Keys of the values that hold a misread word."""
+    words = vals.select(*_KEY, F.explode(F.array_distinct(_words(F.col("text")))).alias("w"))
+    return _misread(words, frequent_forms(vals)).select(*_KEY).distinct()
+
+
+def _with_previous(text: Column) -> Column:
+    """The words of a text, each with the word before it (in small letters)."""
+    words = _words(text)
+    return F.arrays_zip(F.concat(F.array(F.lit("")), F.transform(words, F.lower)).alias("prev"), words.alias("w"))
+
+
+def corrections(vals: DataFrame) -> DataFrame:
+    """``(source_table, field_name, row_key, copy, prev, w, right)``: the misread words of each value that have a right form.
+
+    Of the frequent forms of a skeleton the one that stands most often after the word before is right, on ties the most
+    frequent. Only words of skeletons with several forms are counted with their neighbours.
+    """
+    forms = frequent_forms(vals)
+    words = vals.select(*_KEY, "copy", F.explode(F.array_distinct(_with_previous(F.col("text")))).alias("p")).select(*_KEY, "copy", F.col("p.prev").alias("prev"), F.col("p.w").alias("w")).where("w is not null")
+    wrong = cut(_misread(words, forms).where("best is not null").select(*_KEY, "copy", "prev", "w", "skeleton", "best"), "misread")
+    several = cut(forms.join(forms.where("form <> best").select("skeleton").distinct(), "skeleton", "left_semi").select("skeleton", "form", "n"), "several")
+    beside = vals.select(F.explode(_with_previous(F.col("text"))).alias("p")).select(F.col("p.prev").alias("prev"), F.lower("p.w").alias("form")).join(_sized(several.select("form")), "form", "left_semi")
+    support = beside.groupBy("prev", "form").agg(F.count("*").alias("beside"))
+    places = wrong.select("prev", "skeleton").distinct().join(several, "skeleton").join(support, ["prev", "form"], "left")
+    chosen = places.groupBy("prev", "skeleton").agg(F.max_by("form", F.struct(F.coalesce("beside", F.lit(0)).alias("a"), "n", "form")).alias("form"))
+    right = F.coalesce("form", "best")
+    right = F.when(F.col("w").rlike(r"^\p{Lu}"), F.initcap(right)).otherwise(right)
+    return wrong.join(chosen, ["prev", "skeleton"], "left").select(*_KEY, "copy", "prev", "w", right.alias("right"))
 
 
 def _letters(segment: Column) -> Column:
@@ -201,39 +228,41 @@ def repaired(vals: DataFrame) -> DataFrame:
 
     Paragraphs are separated by a newline. Repeated rows of one key with the same text come once.
     """
-    forms = frequent_forms(vals)
-    best = {r["skeleton"]: r["best"] for r in forms.where("form = best").select("skeleton", "best").toLocalIterator()}  # at most FORMS
-    common = {r["form"] for r in forms.select("form").toLocalIterator()}
-    sent = vals.sparkSession.sparkContext.broadcast((best, common))
-    word = re.compile(r"[\w|/]*[^\W\d_][\w|/]*")
-    mixed = re.compile(r"[а-яё][a-z]|[a-z][а-яё]|[^\W\d_][\d|/]+[^\W\d_]|^[\d|][^\W\d_]{3}|[^\W\d_]{3}[\d|]$")
+    vals = vals.withColumn("copy", F.xxhash64("text")).dropDuplicates([*_KEY, "copy"])
+    right = corrections(vals).groupBy(*_KEY, "copy").agg(F.collect_list(F.struct("prev", "w", "right")).alias("right"))
 
     def replaced(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best, common = sent.value
-        known: dict[str, str] = {}
-
-        def right(m: re.Match) -> str:
-            w = m.group()
-            if w in known:
-                return known[w]
-            low, out = w.lower(), w
-            if len(low) >= 4 and low not in common and not re.fullmatch(r"[A-ZА-ЯЁ\d/|]+", w):
-                to = best.get(_skeleton(low))
-                if to and (w[0].islower() or mixed.search(low) or not w[0].isalpha()):
-                    out = to[0].upper() + to[1:] if w[0].isupper() else to
-            if len(known) < 500_000:
-                known[w] = out
-            return out
-
+        word = regex.compile(_WORD)
         for batch in batches:
-            yield batch.assign(text=[word.sub(right, t) if t else t for t in batch["text"]])
+            out = []
+            for text, right in zip(batch["text"], batch["right"]):
+                if text and right is not None:
+                    known = {(r["prev"], r["w"]): r["right"] for r in right}
+                    anywhere = {r["w"]: r["right"] for r in right}
+                    prev = ""
+
+                    def one(m, known=known, anywhere=anywhere):  # the flow may have put another word before
+                        nonlocal prev
+                        w = m.group()
+                        new, prev = known.get((prev, w)) or anywhere.get(w, w), w.lower()
+                        return new
+
+                    text = word.sub(one, text)
+                out.append(text)
+            yield batch.assign(text=out).drop(columns="right")
 
     noise = edge_noise(vals).select(*_KEY, F.xxhash64("segment").alias("h")).distinct().withColumn("drop", F.lit(True))
-    vals = vals.withColumn("copy", F.xxhash64("text")).dropDuplicates([*_KEY, "copy"])
     joined = F.regexp_replace(_collapsed(F.col("text")), _BREAK, "")
     lines = vals.select(*_KEY, "copy", F.posexplode(F.split(joined, r"(?:\r\n|\r|\n)")).alias("line_no", "line"))
-    segs = lines.select(*_KEY, "copy", "line_no", (F.trim("line") == "").alias("blank"), F.posexplode(F.split(F.trim("line"), r"[ \t]{2,}")).alias("seg_no", "segment"))
-    segs = segs.withColumn("h", F.xxhash64(F.trim("segment"))).join(noise, [*_KEY, "h"], "left").where("drop is null")
+    # headings and page numbers are dropped only where they are looked for: in lines at the edges of pages, not at the beginning of other texts
+    full = (~(F.trim("line") == "")).cast("int")
+    every = W.partitionBy(*_KEY, "copy")
+    lines = lines.withColumn("from_top", F.sum(full).over(every.orderBy("line_no"))).withColumn("from_end", F.sum(full).over(every) - F.col("from_top") + 1)
+    edge = (F.col("source_table") == "ocr_pages") & (F.least("from_top", "from_end") <= EDGE)
+    segs = lines.select(*_KEY, "copy", "line_no", edge.alias("edge"), (F.trim("line") == "").alias("blank"), F.posexplode(F.split(F.trim("line"), r"[ \t]{2,}")).alias("seg_no", "segment"))
+    segs = segs.withColumn("h", F.xxhash64(F.trim("segment"))).join(noise, [*_KEY, "h"], "left")
+    searched = F.col("edge") | ((F.col("source_table") != "ocr_pages") & ((F.col("line_no") > 0) | (F.col("seg_no") > 0)))
+    segs = segs.where(F.col("drop").isNull() | ~searched)
     order = W.partitionBy(*_KEY, "copy").orderBy("line_no", "seg_no")
     before, gap = F.lag("segment").over(order), F.lag("blank").over(order)
     new_line = F.coalesce(F.col("line_no") > F.lag("line_no").over(order), F.lit(True))
@@ -242,5 +271,5 @@ def repaired(vals: DataFrame) -> DataFrame:
     flowed = segs.where("segment <> ''").groupBy(*_KEY, "copy", "paragraph").agg(F.sort_array(F.collect_list(F.struct("line_no", "seg_no", "segment"))).alias("s"))
     flowed = flowed.select(*_KEY, "copy", "paragraph", F.array_join(F.transform("s", lambda x: x["segment"]), " ").alias("p"))
     flowed = flowed.groupBy(*_KEY, "copy").agg(F.sort_array(F.collect_list(F.struct("paragraph", "p"))).alias("s"))
-    text = flowed.select(*_KEY, F.array_join(F.transform("s", lambda x: x["p"]), "\n").alias("text"))
+    text = flowed.select(*_KEY, "copy", F.array_join(F.transform("s", lambda x: x["p"]), "\n").alias("text")).join(right, [*_KEY, "copy"], "left").drop("copy")
     return text.mapInPandas(replaced, "source_table string, field_name string, row_key string, text string")

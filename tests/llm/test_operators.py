@@ -176,7 +176,7 @@ def test_best_fit_takes_the_fullest_container():
     [
         ("ＡＳＵ", "ASU"), ("cистeмa", "система"), ("gatеwаy", "gateway"), ("Ρешение", "Решение"), ("схе​ма", "схема"), ("до­кумент", "документ"), ("а б", "а б"), ("отчйт", "отчйт"),
         ("SQL‑запрос", "SQL-запрос"), ("SQL-запрос", "SQL-запрос"), ("β-модуль", "β-модуль"), ("Wi-Fi сеть", "Wi-Fi сеть"), ("№ 5 «Ёж»…", "№ 5 «Ёж»…"), ("a\tb\nc", "a\tb\nc"), ("Café", "Café"), ("", ""),
-        ("узел o связи", "узел о связи"), ("АРI-ключ", "API-ключ"), ("ﬁnal", "final"),
+        ("узел o связи", "узел о связи"), ("\u1112\u1161\u11ab\u1100\u1161", "\ud55c\uac00"), ("\u0b47\u0b3e", "\u0b4b"), ("АРI-ключ", "API-ключ"), ("ﬁnal", "final"),
     ],
 )
 def test_consistent_form(text, form):
@@ -491,6 +491,20 @@ def test_scan_noise(spark):
     assert "РЕГЛАМЕНТ" not in fixed["50:2"] and "— 2 —" not in fixed["50:2"] and fixed["50:2"].startswith(f"{body[2]} и далее 2.")
 
 
+def test_the_word_before_chooses_the_form(spark):
+    """Two frequent forms of one skeleton, a misreading of both, and a heading within a page."""
+    text = ["новые дома строят", "железного лома собрано много", "порядок работы"]
+    data = [("terms", "definition", str(i), i, text[i % 3 if i % 5 else 0]) for i in range(200)]
+    data += [("terms", "definition", "901", 1, "новые пoма строят"), ("terms", "definition", "902", 1, "железного пома собрано")]
+    page = "ЖУРНАЛ УЧЁТА\n" + "порядок работы\n" * 5 + "ЖУРНАЛ УЧЁТА\n" + "порядок работы\n" * 5 + "ЖУРНАЛ УЧЁТА"
+    data += [("ocr_pages", "full_text", f"7:{p}", 7, page) for p in range(1, 4)]
+    df = scan_values(spark, data)
+    fixed = {r["row_key"]: r["text"] for r in scans.repaired(df).collect()}
+    assert fixed["901"] == "новые дома строят" and fixed["902"] == "железного лома собрано"
+    assert {"901", "902"} <= {k for k, d in rows(scans.defects(df), "row_key", "defect") if d == "misread"}
+    assert fixed["7:1"].count("ЖУРНАЛ УЧЁТА") == 1
+
+
 def test_scans_of_an_empty_table(spark):
     empty = scan_values(spark, [])
     assert scans.defects(empty).count() == 0 and scans.repaired(empty).count() == 0
