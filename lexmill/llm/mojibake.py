@@ -1,12 +1,14 @@
 """Text decoded with the wrong character encoding: found and, where possible, restored.
 
 A swap of single-byte code pages is a substitution cipher on the letters. For every source and every page
-a text may have been read with, the byte-to-letter mapping is learned by expectation-maximization: the pairs
-of neighbouring bytes in doubtful words are explained by the letter bigrams of the clean names of the same
-table, starting from the mappings of known pages, each weighted by how well it explains the source. The
-learned mapping of a source is applied with translate(); a word is taken in its new form only if the bigrams
-find it much more likely than the old one. UTF-8 read as single bytes leaves sequences that only UTF-8 can
-have made; they are decoded, as often as they were nested. Both work on parts of a value.
+a text may have been read with, doubtful words are counted as pairs of neighbouring bytes, and the byte-to-letter
+mapping is learned by expectation-maximization against the letter bigrams of the clean names of the same table. Words
+that a known page explains tolerably start from that page, which is a prior that counts can overrule; all others
+start from letter frequencies alone and are deciphered, whatever the swap was. A deciphered mapping is believed if
+it has pairs enough for its letters and makes the words about as likely as clean ones are. The mapping of a
+source is applied with translate(); a word is taken in its new form only if the bigrams find it much more likely than
+the old one. UTF-8 read as single bytes leaves sequences that only UTF-8 can have made; they are decoded, as
+often as they were nested. Both work on parts of a value.
 """
 
 from __future__ import annotations
@@ -33,7 +35,12 @@ _FLOOR = -9.0
 GAIN, LEAST = 14.0, -4.3
 _ROUNDS = 12
 _PRIOR = 20.0
-_EVIDENCE = 200
+#: Needed probability of a letter that departs from the known page.
+SURE = 0.95
+#: A deciphered mapping needs so many pairs for each of its bytes, and a mean log-likelihood at most so far below that of clean names.
+PAIRS_A_BYTE, BELOW = 25, 0.4
+#: A mapping that leaves so large a share of the text as it is belongs to a related language, not to a swap.
+SAME = 0.4
 
 
 def _char_byte(page: str) -> dict[str, int]:
@@ -49,6 +56,7 @@ def _char_byte(page: str) -> dict[str, int]:
 
 
 _BYTES = {p: _char_byte(p) for p in READ_AS}
+_CHARS = {p: {b: c for c, b in reversed(list(m.items()))} for p, m in _BYTES.items()}
 
 
 def _utf8_runs(text: str, to_byte: dict[str, int]) -> tuple[str, int]:
@@ -98,7 +106,7 @@ def _utf8_runs(text: str, to_byte: dict[str, int]) -> tuple[str, int]:
 def unnested(text: str) -> tuple[str, int]:
     """A text with UTF-8 read as single bytes undone, however often it was nested; how many sequences there were."""
     total = 0
-    for _ in range(4):
+    while True:  # each round makes the text shorter
         best = max((_utf8_runs(text, _BYTES[p]) for p in READ_AS), key=lambda x: x[1])
         if not best[1]:
             break
@@ -111,18 +119,30 @@ def _index() -> dict[str, int]:
 
 
 def bigram_model(values: DataFrame) -> np.ndarray:
-    """Log-probabilities of letter pairs, 0 being the edge of a word, from the clean values. The counts that
-    come to the driver are of pairs of letters, so their number is bounded by the alphabet."""
-    words = values.where(F.col("value").rlike(_CLEAN) & ~F.col("value").rlike(_SWAPPED)).select(F.explode(F.regexp_extract_all("value", F.lit("([А-Яа-яЁё]{3,})"), 1)).alias("w"))
+    """Log-probabilities of letter pairs, 0 being the edge of a word, from the clean values. A pair counts by the share of the
+    other sources that have it too, so that one source of garbled letters does not make them usual (with two sources or
+    fewer all count). The counts that come to
+    the driver are of pairs of letters, so their number is bounded by the alphabet."""
+    words = values.where(F.col("value").rlike(_CLEAN) & ~F.col("value").rlike(_SWAPPED)).select("source", F.explode(F.regexp_extract_all("value", F.lit("([А-Яа-яЁё]{3,})"), 1)).alias("w"))
     padded = F.concat(F.lit(" "), F.col("w"), F.lit(" "))
-    pairs = words.select(F.explode(F.transform(F.sequence(F.lit(1), F.length(padded) - 1), lambda i: F.substring(padded, i, F.lit(2)))).alias("p"))
+    pairs = words.select("source", F.explode(F.transform(F.sequence(F.lit(1), F.length(padded) - 1), lambda i: F.substring(padded, i, F.lit(2)))).alias("p"))
     index = _index() | {" ": 0}
     counts = np.full((len(LETTERS) + 1,) * 2, 0.02)
-    for r in pairs.groupBy("p").count().collect():
-        counts[index[r["p"][0]], index[r["p"][1]]] += r["count"]
+    by = pairs.groupBy("p", "source").agg(F.count("*").alias("n")).groupBy("p").agg(F.sum("n").alias("n"), F.count("*").alias("sources")).collect()
+    most = max((r["sources"] for r in by), default=1)
+    for r in by:
+        counts[index[r["p"][0]], index[r["p"][1]]] += r["n"] * ((r["sources"] - 1) / (most - 1) if most > 2 else 1)
     return np.log(counts / counts.sum(axis=1, keepdims=True))
 
 
+def _usual(model: np.ndarray) -> tuple[np.ndarray, float]:
+    """The frequencies of letters (0: edge) in the long run of a bigram model, and the mean log-likelihood of its pairs."""
+    t, pi = np.exp(model), np.full(len(model), 1 / len(model))
+    for _ in range(200):
+        pi = pi @ t
+    return pi, float((pi[:, None] * t * model).sum())
+
+
 def _page_letters() -> np.ndarray:
     """Letters (0: none) of the 128 high bytes in each page a text may have been written in."""
     to, index = np.zeros((len(WRITTEN_IN), 128), dtype=int), _index()
@@ -149,35 +169,99 @@ def explained_by(run: list[int], page: str, model: np.ndarray) -> int:
     return int(mean.argmax()) if mean.max() > -5.5 else -1
 
 
-def learn(pairs: pd.DataFrame, known: int, model: np.ndarray) -> np.ndarray:
-    """The letter (0: none) of each high byte, from counts ``b1, b2, n`` of byte pairs (0: edge of a word).
+def _joint(emit: np.ndarray, counts: np.ndarray, joint: np.ndarray) -> np.ndarray:
+    """Expected counts of (symbol, letter) under ``emit(symbol | letter)``, for pairs of symbols ``counts``; symbol 0 is the edge, as letter 0."""
+    a = counts / np.maximum(emit @ joint @ emit.T, 1e-300)
+    return emit * (a @ (emit @ joint.T) + a.T @ (emit @ joint))
 
-    Expectation-maximization from the mapping of page ``known``, or from equal chances if that is -1. A letter
-    that departs from the known page needs a probability of 0.9 and ``_EVIDENCE`` occurrences of its byte.
-    """
-    n_letters = len(LETTERS) + 1
+
+def learn(pairs: pd.DataFrame, known: int, model: np.ndarray) -> np.ndarray:
+    """The letter (0: none) of each high byte, from counts ``b1, b2, n`` of byte pairs (0: edge of a word), by
+    expectation-maximization from the mapping of page ``known``, or by deciphering if that is -1."""
     b1, b2, n = (pairs[c].to_numpy() for c in ("b1", "b2", "n"))
-    start = np.full((128, n_letters), (0.05 if known >= 0 else 1.0) / n_letters)
-    if known >= 0:
-        start[np.arange(128), _TO[known]] += 1
-    start[:, 0] = 1e-6
-    start /= start.sum(axis=1, keepdims=True)
-    emit, joint = start, np.exp(model)
+    seen = np.unique(np.concatenate([[0], b1, b2]))
+    counts = np.zeros((len(seen), len(seen)))
+    np.add.at(counts, (np.searchsorted(seen, b1), np.searchsorted(seen, b2)), n)
+    out = np.zeros(128, dtype=int)
+    if known < 0:
+        best = decipher(counts, model)
+        if best is not None:
+            out[seen[1:] - 128] = best[1:]
+        return out
+    pi, _ = _usual(model)
+    letters = np.concatenate([[0], _TO[known][seen[1:] - 128]])
+    prior = np.full((len(seen), len(model)), 0.05 / len(model))
+    prior[np.arange(len(seen)), letters] += 1
+    prior[1:, 0], prior[0] = 1e-9, 0
+    prior[0, 0] = 1
+    emit = prior / prior.sum(axis=0)
     for _ in range(_ROUNDS):
-        side1, side2 = np.zeros((len(n), n_letters)), np.zeros((len(n), n_letters))
-        side1[b1 == 0, 0] = side2[b2 == 0, 0] = 1
-        side1[b1 > 0], side2[b2 > 0] = emit[b1[b1 > 0] - 128], emit[b2[b2 > 0] - 128]
-        p2 = (side1 @ joint) * side2
-        p1 = side1 * (side2 @ joint.T)
-        total = np.maximum(p2.sum(axis=1, keepdims=True), 1e-12)
-        new = start * _PRIOR
-        np.add.at(new, b1[b1 > 0] - 128, (p1 / total * n[:, None])[b1 > 0])
-        np.add.at(new, b2[b2 > 0] - 128, (p2 / total * n[:, None])[b2 > 0])
-        emit = new / new.sum(axis=1, keepdims=True)
-    seen = np.bincount(b1[b1 > 0] - 128, weights=n[b1 > 0], minlength=128)
-    best = emit.argmax(axis=1)
-    sure = (emit.max(axis=1) >= 0.9) & (seen >= _EVIDENCE)
-    return np.where(sure, best, _TO[known] if known >= 0 else 0)
+        new = _joint(emit, counts, pi[:, None] * np.exp(model)) + prior * _PRIOR
+        new[0], new[1:, 0] = 0, 1e-9
+        new[0, 0] = 1
+        emit = new / np.maximum(new.sum(axis=0), 1e-300)
+    chance = new[1:] / np.maximum(new[1:].sum(axis=1, keepdims=True), 1e-300)
+    best, page = chance.argmax(axis=1), letters[1:]
+    out[:] = _TO[known]
+    out[seen[1:] - 128] = np.where(chance.max(axis=1) >= SURE, best, page)
+    return out
+
+
+def decipher(counts: np.ndarray, model: np.ndarray) -> np.ndarray | None:
+    """The letter of each symbol of a substitution cipher from its pair counts (symbol 0 is the edge), or None if it cannot be believed.
+
+    Expectation-maximization starts from how frequent symbols and letters are; its most probable one-to-one mapping is
+    improved by exchanging letters as long as the likelihood of all pairs grows, from a few disturbed starts.
+    """
+    k, total = len(counts), counts.sum()
+    pi, clean = _usual(model)
+    if k < 2 or total < PAIRS_A_BYTE * (k - 1) or k > len(model):
+        return None
+    share = counts.sum(axis=0)[1:] / counts[:, 1:].sum()
+    letters = pi[1:] / pi[1:].sum()
+    near = np.exp(-0.5 * ((np.log(share + 1e-6)[:, None] - np.log(letters + 1e-6)[None, :]) / 0.8) ** 2) + 1e-4
+    emit = np.zeros((k, len(model)))
+    emit[1:, 1:], emit[0, 0] = near, 1
+    emit[1:, 1:] *= share[:, None]
+    emit /= emit.sum(axis=0)
+    joint = pi[:, None] * np.exp(model)
+    for _ in range(60):
+        new = _joint(emit, counts, joint) + 1e-6
+        new[0], new[:, 0] = 0, 0
+        new[0, 0] = 1
+        emit = new / new.sum(axis=0)
+    chance = new[1:, 1:] / new[1:, 1:].sum(axis=1, keepdims=True)
+    score = lambda m: float((counts * model[np.ix_(m, m)]).sum())
+
+    def climbed(m: np.ndarray) -> tuple[float, np.ndarray]:
+        at, moved = score(m), True
+        while moved:
+            moved = False
+            free = np.setdiff1d(np.arange(1, len(model)), m)
+            for i in range(1, k):
+                for j in [*range(i + 1, k), *(-free)]:
+                    new = m.copy()
+                    if j > 0:
+                        new[i], new[j] = m[j], m[i]
+                    else:
+                        new[i] = -j
+                    if (s := score(new)) > at + 1e-9:
+                        free = np.setdiff1d(np.arange(1, len(model)), new) if j < 0 else free
+                        at, m, moved = s, new, True
+        return at, m
+
+    first, order = np.zeros(k, dtype=int), np.argsort(-chance.max(axis=1))
+    for i in order:
+        first[i + 1] = next(c + 1 for c in np.argsort(-chance[i]) if c + 1 not in first)
+    rng = np.random.default_rng(k)
+    tries = [climbed(first)]
+    for _ in range(6):
+        m = max(tries, key=lambda x: x[0])[1].copy()
+        swap = rng.permutation(np.arange(1, k))[: max(2, k // 4)]
+        m[swap] = m[np.roll(swap, 1)]
+        tries.append(climbed(m))
+    at, m = max(tries, key=lambda x: x[0])
+    return m if at / total >= clean - BELOW else None
 
 
 def _score(word: str, model: np.ndarray, index: dict[str, int]) -> tuple[float, int]:
@@ -218,6 +302,15 @@ def _doubtful_words(text: str, to_byte: dict[str, int]) -> list[list[int]]:
     return out
 
 
+def improbable(text: str, model: np.ndarray, index: dict[str, int]) -> bool:
+    """Whether the words of a text in clean letters are much less likely than those of clean names."""
+    total, pairs = 0.0, 0
+    for w in re.findall("[А-Яа-яЁё]{4,}", text):
+        s, n = _score(w, model, index)
+        total, pairs = total + s, pairs + n
+    return pairs >= 5 and LEAST * pairs - total >= GAIN / 2
+
+
 def mappings(values: DataFrame, model: np.ndarray) -> DataFrame:
     """``(source, page, from_chars, to_chars)``: the learned mapping of each source and page, for translate()."""
 
@@ -227,11 +320,15 @@ def mappings(values: DataFrame, model: np.ndarray) -> DataFrame:
             count: dict[tuple, int] = {}
             for source, value in zip(batch["source"], batch["value"]):
                 text, _ = unnested(value)
-                if not re.search(r"[^\t -~А-Яа-яЁё«»№—–“”’]|" + _SWAPPED, text):
+                if not re.search(r"[^\t -~А-Яа-яЁё«»№—–“”’]|" + _SWAPPED, text) and not improbable(text, model, index):
                     continue
                 for page in READ_AS:
                     for run in _doubtful_words(text, _BYTES[page]):
                         known = explained_by(run, page, model)
+                        if known < 0:  # only what is no word as it stands is left to be deciphered
+                            total, n = _score("".join(_CHARS[page][b] for b in run), model, index)
+                            if total >= (LEAST - 0.5) * n:
+                                continue
                         for pair in zip([0, *run], [*run, 0]):
                             key = (source, page, known, *pair)
                             count[key] = count.get(key, 0) + 1
@@ -243,6 +340,11 @@ def mappings(values: DataFrame, model: np.ndarray) -> DataFrame:
         source, page, known = pdf["source"].iloc[0], pdf["page"].iloc[0], int(pdf["known"].iloc[0])
         best = learn(pdf, known, model)
         pairs = [(c, LETTERS[best[b - 128] - 1]) for c, b in _BYTES[page].items() if best[b - 128] > 0]
+        if known < 0 and pairs:
+            to, n = dict(pairs), pdf.groupby("b2")["n"].sum().to_dict()
+            of = {c: n.get(b, 0) for c, b in _BYTES[page].items()}
+            if sum(of[c] for c in to if to[c] == c) >= SAME * max(1, sum(of[c] for c in to)):
+                pairs = []
         return pd.DataFrame([(source, f"{page}:{known}", "".join(a for a, _ in pairs), "".join(b for _, b in pairs))], columns=["source", "page", "from_chars", "to_chars"])
 
     return counted.groupBy("source", "page", "known").applyInPandas(fit, "source string, page string, from_chars string, to_chars string").where("from_chars <> ''")
@@ -283,7 +385,15 @@ def restore(values: DataFrame) -> DataFrame:
     """
     values = values.where("value is not null").select("id", "field_name", F.coalesce("source", F.lit("")).alias("source"), "value").distinct()
     model = bigram_model(values)
-    suspects = cut(values.where(~F.col("value").rlike(_CLEAN) | F.col("value").rlike(_SWAPPED)), "suspects")
+    strange = ~F.col("value").rlike(_CLEAN) | F.col("value").rlike(_SWAPPED)
+
+    def unlikely(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        index = _index()
+        for batch in batches:
+            yield batch[[improbable(v, model, index) for v in batch["value"]]]
+
+    plausible = values.where(~strange & F.col("value").rlike("[А-Яа-яЁё]{4}")).mapInPandas(unlikely, values.schema)
+    suspects = cut(values.where(strange).unionByName(plausible), "suspects")
     maps = cut(mappings(suspects.select("source", "value"), model), "maps")
 
     def plain_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -458,6 +458,49 @@ def test_garbled_names_are_restored(spark):
     assert len(wrong) <= len(origin) * 0.1, wrong
 
 
+def ciphered(text, key):
+    return "".join(key.get(c, c) for c in text)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_an_unknown_swap_is_deciphered(seed):
+    """Pair counts under a random exchange of letters, with the bigrams of the same language."""
+    rng = random.Random(seed)
+    words = [w for t in CLEAN for w in re.findall("[А-Яа-яё]+", t)]
+    index = mojibake._index()
+    counts = np.full((len(mojibake.LETTERS) + 1,) * 2, 0.02)
+    text = rng.choices(words, k=1500)
+    for w in text:
+        for a, b in zip([0, *(index[c] for c in w)], [*(index[c] for c in w), 0]):
+            counts[a, b] += 1
+    model = np.log(counts / counts.sum(axis=1, keepdims=True))
+    seen = sorted({index[c] for w in words for c in w})
+    place = {c: k + 1 for k, c in enumerate(rng.sample(seen, len(seen)))}
+    pairs = np.zeros((len(seen) + 1,) * 2)
+    for w in rng.choices(words, k=600):
+        for a, b in zip([0, *(place[index[c]] for c in w)], [*(place[index[c]] for c in w), 0]):
+            pairs[a, b] += 1
+    got = mojibake.decipher(pairs, model)
+    assert got is not None and sum(got[place[c]] == c for c in seen) >= 0.9 * len(seen)
+    noise = np.random.default_rng(seed).integers(0, 9, pairs.shape).astype(float)
+    assert mojibake.decipher(noise, model) is None and mojibake.decipher(np.minimum(pairs, 1) * 0.2, model) is None
+
+
+def test_a_source_with_an_unknown_swap_is_restored(spark):
+    rng = random.Random(9)
+    words = [w for t in CLEAN for w in t.split()]
+    name = lambda: " ".join(rng.choice(words) for _ in range(4))
+    small, large = "абвгдежзийклмнопрстуфхцчшщъыьэюяё", "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯЁ"
+    key = dict(zip(small, rng.sample(small, 33))) | dict(zip(large, rng.sample(large, 33)))
+    data = [(i, "title", f"s{i % 8}", name()) for i in range(400)]
+    origin = {1000 + i: name() for i in range(60)}
+    data += [(i, "title", "odd", ciphered(t, key)) for i, t in origin.items()]
+    df = spark.createDataFrame(data, "id bigint, field_name string, source string, value string")
+    got = {r["id"]: r["restored"] for r in mojibake.restore(df).collect()}
+    assert len(set(got) & set(origin)) >= 55 and not set(got) - set(origin)
+    assert sum(got.get(i) == t for i, t in origin.items()) >= 50
+
+
 def test_encodings_of_an_empty_table(spark):
     assert mojibake.restore(spark.createDataFrame([], "id bigint, field_name string, source string, value string")).count() == 0
 
