@@ -66,13 +66,14 @@ def limits(texts: DataFrame) -> DataFrame:
     bare = F.regexp_replace("text", "\ufffd+$", "")
     broken = F.col("text").endswith("\ufffd").cast("int")
     once = texts.select("field", "source", F.length("text").alias("chars"), (F.octet_length(bare) + broken).alias("bytes"), F.xxhash64("text").alias("h")).distinct()
+    once = cut(once, "lengths")  # read for the counts and again for what stronger lengths explain
     long = once.select("field", "source", "h", F.explode(F.create_map(F.lit("chars"), "chars", F.lit("bytes"), "bytes")).alias("unit", "size"))
     by = long.groupBy("field", "source", "unit", "size").agg(F.count("*").alias("n"))
     total = long.groupBy("field", "unit", "size").agg(F.countDistinct("h").alias("n")).select("field", F.lit(None).cast("string").alias("source"), "unit", "size", "n")
     by = by.withColumn("whole", F.lit(False)).unionByName(total.withColumn("whole", F.lit(True)))
     by = _tested(by)
     last = F.max(F.when(F.col("under"), F.col("p"))).over(_one())
-    found = by.withColumn("last", last).where("p <= last").where(_piled(F.col("n"))).select("field", "source", "whole", "unit", "size", "expected", "p", "last")
+    found = cut(by.withColumn("last", last).where("p <= last").where(_piled(F.col("n"))).select("field", "source", "whole", "unit", "size", "expected", "p", "last"), "significant")
     # what a text at a stronger length explains is no evidence for another
     at = long.join(found.where("not whole"), ["field", "source", "unit", "size"]).select("field", "source", "h", "unit", "size", "whole", "p")
     at = at.unionByName(long.select("field", "h", "unit", "size").distinct().join(found.where("whole").drop("source"), ["field", "unit", "size"]).select("field", F.lit(None).cast("string").alias("source"), "h", "unit", "size", "whole", "p"))
