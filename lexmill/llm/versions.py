@@ -97,10 +97,9 @@ def _first_sizes(n: int, threshold: float) -> list[int]:
     return sorted({k for size, low, high in SIZES if low <= n < high for k in range(min(size, _least(threshold, least)), min(size, least) + 1)})
 
 
-def _key(sums: np.ndarray, size: int) -> np.ndarray:
+def _key(sums: np.ndarray, size) -> np.ndarray:
     """A commutative hash of a set from the sum of its mixed words, other for every set size."""
-    with np.errstate(over="ignore"):
-        return _mix(sums + np.uint64(size)).view(np.int64)
+    return _mix(sums + np.asarray(size, dtype=np.uint64)).view(np.int64)
 
 
 def _steps(common: np.ndarray, combos: np.ndarray, sums: np.ndarray, size: int, crowded: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
@@ -110,8 +109,7 @@ def _steps(common: np.ndarray, combos: np.ndarray, sums: np.ndarray, size: int,
     more = np.maximum(limit - 1 - combos[:, -1], 0)
     at = np.repeat(np.arange(len(combos)), more)
     later = combos[at, -1] + 1 + (np.arange(len(at)) - np.repeat(np.cumsum(more) - more, more))
-    with np.errstate(over="ignore"):
-        return np.column_stack([combos[at], later]), sums[at] + common[later]
+    return np.column_stack([combos[at], later]), sums[at] + common[later]
 
 
 def _variants(batches: Iterator[pd.DataFrame], frequent, threshold: float, step: int) -> Iterator[pd.DataFrame]:
@@ -119,40 +117,46 @@ def _variants(batches: Iterator[pd.DataFrame], frequent, threshold: float, step:
     later one the extensions of those in ``crowded``, which has the crowded keys of all steps before."""
     words, counts = frequent
     sets: dict[tuple[int, int], np.ndarray] = {}
-    tabs, cids, keys, sizes, ns, sigs, held = [], [], [], [], [], [], 0
+    first_sizes: dict[int, list[int]] = {}
+    tabs, cids, sums_of, sizes, ns, sigs, held = [], [], [], [], [], [], 0
 
     def out() -> pd.DataFrame:
-        reps = [len(k) for k in keys]
+        reps = [len(k) for k in sums_of]
         frame = {c: np.repeat(np.array(v, dtype=d), reps) for c, v, d in (("tab", tabs, np.int64), ("cid", cids, np.int64), ("n", ns, np.int32), ("sig", sigs, np.int64), ("size", sizes, np.int32))}
-        return pd.DataFrame({"tab": frame["tab"], "key": np.concatenate(keys), "cid": frame["cid"], "n": frame["n"], "sig": frame["sig"], "size": frame["size"]})
+        return pd.DataFrame({"tab": frame["tab"], "key": _key(np.concatenate(sums_of), frame["size"].astype(np.uint64)), "cid": frame["cid"], "n": frame["n"], "sig": frame["sig"], "size": frame["size"]})
 
     for batch in batches:
-        for tab, cid, w, crowd in zip(batch["tab"], batch["cid"], batch["words"], batch["crowded"]):
-            w = np.asarray(w, dtype=np.int64)
+        each = [np.asarray(w, dtype=np.int64) for w in batch["words"]]
+        if not each:
+            continue
+        # whole batches at a time: mixed words, how many classes hold them (0: rare), signatures
+        flat, ends = np.concatenate(each), np.cumsum([len(w) for w in each])
+        place = np.minimum(np.searchsorted(words, flat), max(len(words) - 1, 0))
+        often = np.where(words[place] == flat, counts[place], 0) if len(words) else np.zeros(len(flat), dtype=np.int64)
+        # rare words come first in the global order, so of the first shared words one is rare or none of all
+        order = np.lexsort((flat, often, np.repeat(np.arange(len(each)), np.diff(ends, prepend=0))))
+        sig_of = np.bitwise_or.reduceat(np.left_shift(np.uint64(1), flat.view(np.uint64) % np.uint64(64)), ends - np.diff(ends, prepend=0)).view(np.int64).tolist()
+        all_mixed, all_rare = _mix(flat[order].view(np.uint64)), np.concatenate([[0], np.cumsum(often[order] == 0)])
+        for tab, cid, end, sig, w, crowd in zip(batch["tab"], batch["cid"], ends.tolist(), sig_of, each, batch["crowded"]):
             n = len(w)
-            sig = int(np.bitwise_or.reduce(np.left_shift(np.uint64(1), (w.view(np.uint64) % np.uint64(64)))).view(np.int64))
-            place = np.searchsorted(words, w)
-            place[place == len(words)] = 0
-            known = (words[place] == w) if len(words) else np.zeros(n, dtype=bool)
-            # rare words come first in the global order, so of the first shared words one is rare or none of all
-            order = np.lexsort((w, np.where(known, counts[place] if len(words) else 0, 0)))
-            mixed, known = _mix(w[order].view(np.uint64)), known[order]
+            mixed, rare_from = all_mixed[end - n : end], all_rare[end - n : end + 1]
             least = _least(threshold, n)
-            for size in _first_sizes(n, threshold):
+            if n not in first_sizes:
+                first_sizes[n] = _first_sizes(n, threshold)
+            for size in first_sizes[n]:
                 first = min(n, n - least + size)
-                rare = int((~known[:first]).sum())
+                rare = int(rare_from[first] - rare_from[0])
                 common, q = mixed[rare:], first - rare
-                made: list[tuple[np.ndarray, int]] = [(_key(mixed[:rare], 1), 1)] if rare and not step else []
+                made: list[tuple[np.ndarray, int]] = [(mixed[:rare], 1)] if rare and not step else []
                 if q >= size:
                     if (q, size) not in sets:
                         if len(sets) > 200:
                             sets.clear()
-                        sets[q, size] = np.array(list(combinations(range(q), size)), dtype=np.int32)
+                        sets[q, size] = np.array(list(combinations(range(q), size)), dtype=np.int64)
                     combos = sets[q, size]
-                    with np.errstate(over="ignore"):
-                        sums = common[combos].sum(axis=1, dtype=np.uint64)
+                    sums = common[combos].sum(axis=1)
                     if not step:
-                        made.append((_key(sums, size), size))
+                        made.append((sums, size))
                     else:
                         crowd = np.asarray(crowd, dtype=np.int64)
                         # a few variants at a time: their extensions are many where a long text has only frequent words
@@ -163,20 +167,20 @@ def _variants(batches: Iterator[pd.DataFrame], frequent, threshold: float, step:
                                 if not len(part):
                                     break
                             if len(part):
-                                made.append((_key(total, size + step), size + step))
+                                made.append((total, size + step))
                                 held += len(total)
                                 if held > _BATCH:
                                     for key, s in made:
-                                        tabs.append(tab), cids.append(cid), keys.append(key), sizes.append(s), ns.append(n), sigs.append(sig)
+                                        tabs.append(tab), cids.append(cid), sums_of.append(key), sizes.append(s), ns.append(n), sigs.append(sig)
                                     yield out()
-                                    tabs, cids, keys, sizes, ns, sigs, held, made = [], [], [], [], [], [], 0, []
+                                    tabs, cids, sums_of, sizes, ns, sigs, held, made = [], [], [], [], [], [], 0, []
                 for key, s in made:
-                    tabs.append(tab), cids.append(cid), keys.append(key), sizes.append(s), ns.append(n), sigs.append(sig)
+                    tabs.append(tab), cids.append(cid), sums_of.append(key), sizes.append(s), ns.append(n), sigs.append(sig)
                     held += len(key) if not step else 0
             if held > _BATCH:
                 yield out()
-                tabs, cids, keys, sizes, ns, sigs, held = [], [], [], [], [], [], 0
-    if keys:
+                tabs, cids, sums_of, sizes, ns, sigs, held = [], [], [], [], [], [], 0
+    if sums_of:
         yield out()
 
 
@@ -200,6 +204,7 @@ def _certain(crowded: DataFrame, threshold: float) -> DataFrame:
 
 def _held(variants: DataFrame, label: str) -> DataFrame:
     """Variants of more than one class, with their number of classes; those of one class are the most, and gone before pairs are made."""
+    variants = cut(variants, f"all-{label}")  # made once, read for the counts and for the classes
     held = variants.groupBy("tab", "key").agg(F.count("*").alias("held")).where("held > 1")
     return cut(variants.join(held, ["tab", "key"]), label)
 
@@ -212,20 +217,20 @@ def similar(reps: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     plain = reps.select("tab", "cid", "words")
     first = plain.withColumn("crowded", F.array().cast("array<bigint>"))
     met = _held(first.mapInPandas(lambda batches: _variants(batches, sent.value, threshold, 0), schema), "variants")
-    pairs = _meet(met.where(F.col("held") <= CROWD), threshold)
+    pairs = cut(_meet(met.where(F.col("held") <= CROWD), threshold), "pairs")
     step, known = 0, None
     while True:
         crowded = met.where(F.col("held") > CROWD)
         if crowded.isEmpty():
             break
         step += 1
-        pairs = pairs.unionByName(_certain(crowded, threshold))
+        certain = _certain(crowded, threshold)
         keys = crowded.select("tab", "cid", "key")
         known = keys if known is None else known.unionByName(keys)
         asked = known.join(keys.select("tab", "cid").distinct(), ["tab", "cid"], "left_semi").groupBy("tab", "cid").agg(F.collect_set("key").alias("crowded"))
         again = plain.join(asked, ["tab", "cid"])
         met = _held(again.mapInPandas(lambda batches, step=step: _variants(batches, sent.value, threshold, step), schema), f"variants{step}")
-        pairs = pairs.unionByName(_meet(met.where(F.col("held") <= CROWD), threshold))
+        pairs = pairs.unionByName(cut(certain.unionByName(_meet(met.where(F.col("held") <= CROWD), threshold)), "pairs"))
     pairs = pairs.distinct()
     words = reps.select("source_table", "tab", "cid", "k1", "words")
     a = words.select("source_table", "tab", F.col("cid").alias("a"), F.col("k1").alias("ka"), F.col("words").alias("wa"))
