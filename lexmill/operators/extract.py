@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lexmill.functions.language import RUSSIAN, LanguagePack
+from lexmill.operators.chunks import CHARS, PAGES, chunks
 from lexmill.operators.lines import line_stream
 from lexmill.operators.pairs import fallback_pairs, first_wins, pairs_of_lines, pairs_of_tables
+from lexmill.operators.replies import complete, prompts, reply_lists, reply_status
 from lexmill.operators.sections import section_blocks, spans_of, text_within, with_spans
 from lexmill.shared import cut
 
 _OUT = ["doc_id", "kind", "key", "value", "page_number", "source_line", "rank", "place"]
 #: A list with fewer pairs calls for the next way of finding them.
 FEW = 2
+#: Why a document fails whose reply holds no JSON.
+NO_JSON = "Ответ модели не содержит JSON"
 
 
 def _placed(pairs: DataFrame, rank: int, *place: str) -> DataFrame:
@@ -48,6 +54,18 @@ def extract_lists(lines: DataFrame, pack: LanguagePack = RUSSIAN) -> DataFrame:
     return kept.unionByName(by_all)
 
 
+def model_lists(lines: DataFrame, backend: Callable[[str], str], pages_per_chunk: int = PAGES, max_chars: int = CHARS) -> tuple[DataFrame, DataFrame]:
+    """The lists a language model finds, as ``extract_lists`` gives them, and ``(doc_id, message)`` of the documents that fail.
+
+    Chunks are prompted once each and the replies written before they are used, for a model is slow and not
+    deterministic. One reply without JSON, or an error of the model, fails its document, which has no lists then.
+    """
+    replies = cut(complete(prompts(chunks(lines, pages_per_chunk, max_chars), max_chars), backend).drop("prompt", "text"), "replies")
+    fatal = reply_status(replies).where("status = 'fatal'")
+    failed = fatal.groupBy("doc_id").agg(F.min_by(F.coalesce("error", F.lit(NO_JSON)), "chunk_no").alias("message"))
+    return _placed(reply_lists(replies), 0, "chunk_no", "place"), failed
+
+
 def numbered(lists: DataFrame) -> DataFrame:
     """The lists with ``pos``, the place of a pair in its document's list, from 1."""
     order = W.partitionBy("doc_id", "kind").orderBy("rank", "place")

@@ -59,7 +59,7 @@ def pymupdf_rasteriser() -> Rasteriser:
     return Pages()
 
 
-def detections(files: DataFrame, rasteriser: Callable[[], Rasteriser], detector: Callable[[], Detector], dpi: int = 200, max_pages: int | None = None) -> DataFrame:
+def detections(files: DataFrame, rasteriser: Callable[[], Rasteriser], detector: Callable[[], Detector], dpi: int = 200, max_pages: int | None = None, id_type: str = "bigint") -> DataFrame:
     """``doc_id, page_count, page_number, det_ord, box, text, conf, error`` of ``files(doc_id, content)``; pages without text
     and failed files have one row with a null ``det_ord``."""
     columns = ["doc_id", "page_count", "page_number", "det_ord", "box", "text", "conf", "error"]
@@ -81,7 +81,7 @@ def detections(files: DataFrame, rasteriser: Callable[[], Rasteriser], detector:
                 except Exception as e:  # noqa: BLE001
                     yield pd.DataFrame([(doc, None, None, None, None, None, None, str(e)[:4000])], columns=columns)
 
-    schema = "doc_id bigint, page_count int, page_number int, det_ord int, box array<array<double>>, text string, conf double, error string"
+    schema = f"doc_id {id_type}, page_count int, page_number int, det_ord int, box array<array<double>>, text string, conf double, error string"
     return files.select("doc_id", "content").mapInPandas(run, schema)
 
 

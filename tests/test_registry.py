@@ -152,3 +152,49 @@ def test_stream_of_files(spark, tmp_path, monkeypatch, capsys):
     monkeypatch.setenv("STATE_DIR", state)
     assert main(["query", "Отчёт"]) == 0 and "АСУ — система управления" in capsys.readouterr().out
     assert main(["query", "нет"]) == 1
+
+
+def test_failed_files_come_back(spark, tmp_path):
+    """A failure keeps its message and is tried again at the next start, as often as the settings allow; pages without text count."""
+    source, state = tmp_path / "in", str(tmp_path / "state")
+    source.mkdir()
+    page = "Перечень сокращений\nАСУ — система управления\fНД — надзор\f\f"
+    (source / "a.pdf").write_bytes(page.encode())
+    (source / "b.pdf").write_bytes(b"bad one")
+    go = lambda **k: run_files(spark, str(source), state, str(tmp_path / "ck"), Lines, Lines, Settings(**k), now()).awaitTermination()
+    go()
+    s = State(spark, state)
+    assert rows(s.table("registry"), "title", "status", "page_count", "error_message") == sorted([("a", "completed", 4, None), ("b", "failed", None, "broken file")], key=str)
+    go(max_attempts=1)
+    assert s.table("log").where("level = 'error'").count() == 1
+    go(max_attempts=2)
+    assert s.table("log").where("level = 'error'").count() == 2
+    (source / "b.pdf").write_bytes(page.replace("надзор", "норма").encode())
+    go()
+    assert "completed" in {r.status for r in s.table("registry").where("title = 'b'").collect()}
+
+
+def test_a_swap_that_breaks_off_loses_nothing(spark, tmp_path):
+    s = State(spark, str(tmp_path / "state"))
+    for batch in range(2):
+        s.commit(batch, {"registry": reg(spark, {"id": batch, "file_hash": "h", "status": "pending"}), "children": s.table("children"), "log": s.table("log")})
+    (tmp_path / "state" / "CURRENT").rename(tmp_path / "state" / "NEW")
+    assert s.pointer() == {"batch": 1, "version": 1} and s.table("registry").first().id == 1
+    s.commit(2, {"registry": s.table("registry"), "children": s.table("children"), "log": s.table("log")})
+    (tmp_path / "state" / "NEW").write_bytes(b"")
+    assert s.pointer()["batch"] == 2
+
+
+def test_lists_by_a_model(spark, tmp_path):
+    source, state = tmp_path / "in", str(tmp_path / "state")
+    source.mkdir()
+    (source / "a.pdf").write_bytes("один".encode())
+    (source / "b.pdf").write_bytes("два".encode())
+
+    def backend(prompt):
+        return '{"terms": [{"term": "узел", "definition": "часть сети"}]}' if "один" in prompt else "не знаю"
+
+    run_files(spark, str(source), state, str(tmp_path / "ck"), Lines, Lines, Settings(extractor="llm"), now(), backend=backend).awaitTermination()
+    s = State(spark, state)
+    assert rows(s.table("registry"), "title", "status") == [("a", "completed"), ("b", "failed")]
+    assert rows(s.table("children"), "key", "value", "source_line") == [("узел", "часть сети", "[LLM стр.1-1]")]
