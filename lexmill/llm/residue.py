@@ -25,6 +25,8 @@ FOREIGN = 0.1
 NOTICE_CHARS = 90
 #: Share of the sentences of a widely recurring message that have to sound like notices (more than).
 HINTED = 0.5
+#: Hashes of widely recurring messages that are broadcast at most, 24 bytes each; more are joined by a shuffle.
+ASKED = 100_000
 #: A message is widely recurring from so many sources on.
 SOURCES = 3
 
@@ -153,8 +155,11 @@ def residue(docs: DataFrame) -> DataFrame:
     grouped = cut(by_source.groupBy("h1", "h2").agg(F.max("message").alias("message"), F.min("doc_id").alias("doc_id"), F.count("*").alias("sources")).where("message is not null or sources >= " + str(SOURCES)), "grouped")
     judged = grouped.where("message is not null").where(notice(F.col("message"), F.col("sources") >= SOURCES)).select("h1", "h2")
     # messages that recur widely are few; each is read again in one of its documents
-    wide = docs.join(grouped.where(F.col("sources") >= SOURCES).select("doc_id", F.col("h1").alias("w1"), F.col("h2").alias("w2")), "doc_id")
-    wide = wide.select("w1", "w2", masked(F.col("text")).alias("message")).where((F.xxhash64("message") == F.col("w1")) & (F.hash("message") == F.col("w2")))
+    asked = grouped.where(F.col("sources") >= SOURCES).select("doc_id", F.col("h1").alias("w1"), F.col("h2").alias("w2"))
+    asked = F.broadcast(asked) if asked.limit(ASKED + 1).count() <= ASKED else asked
+    wide = docs.join(asked, "doc_id").select("w1", "w2", masked(F.col("text")).alias("message"))
+    # written before it is judged, or the rules would be pushed down to all documents
+    wide = cut(wide.where((F.xxhash64("message") == F.col("w1")) & (F.hash("message") == F.col("w2"))), "wide")
     judged = judged.unionByName(wide.where(sounds_like_notice(F.col("message"))).select(F.col("w1").alias("h1"), F.col("w2").alias("h2"))).distinct()
     notices = messages.join(judged, ["h1", "h2"], "left_semi").select("doc_id", F.lit("notice").alias("reason"))
     marked = docs.select("doc_id", F.when(slots_left(F.col("text")), "slots").when(pseudo_words(F.col("text")), "filler").alias("reason")).where("reason is not null")
