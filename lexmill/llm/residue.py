@@ -157,9 +157,9 @@ def residue(docs: DataFrame) -> DataFrame:
     # messages that recur widely are few; each is read again in one of its documents
     asked = grouped.where(F.col("sources") >= SOURCES).select("doc_id", F.col("h1").alias("w1"), F.col("h2").alias("w2"))
     asked = F.broadcast(asked) if asked.limit(ASKED + 1).count() <= ASKED else asked
-    wide = docs.join(asked, "doc_id").select("w1", "w2", masked(F.col("text")).alias("message"))
-    # written before it is judged, or the rules would be pushed down to all documents
-    wide = cut(wide.where((F.xxhash64("message") == F.col("w1")) & (F.hash("message") == F.col("w2"))), "wide")
+    # written before it is masked and judged, or that would be pushed down to all documents
+    wide = cut(docs.join(asked, "doc_id").select("w1", "w2", "text"), "wide").select("w1", "w2", masked(F.col("text")).alias("message"))
+    wide = wide.where((F.xxhash64("message") == F.col("w1")) & (F.hash("message") == F.col("w2")))
     judged = judged.unionByName(wide.where(sounds_like_notice(F.col("message"))).select(F.col("w1").alias("h1"), F.col("w2").alias("h2"))).distinct()
     notices = messages.join(judged, ["h1", "h2"], "left_semi").select("doc_id", F.lit("notice").alias("reason"))
     marked = docs.select("doc_id", F.when(slots_left(F.col("text")), "slots").when(pseudo_words(F.col("text")), "filler").alias("reason")).where("reason is not null")
