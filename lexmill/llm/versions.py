@@ -27,7 +27,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.llm.copies import SALTS, letters_and_digits
@@ -45,6 +45,9 @@ SIZES = ((3, 0, 100), (2, 80, 1250), (1, 1000, 1 << 60))
 CROWD = 200
 #: Members of a class that one task expands at most (about); classes with more are spread.
 SPREAD = 4096
+#: Bits that tell the classes asked for before words are shuffled; they are broadcast as 524,288 numbers at most.
+#: Where more are set, more classes pass that nobody asked for, which costs shuffle and loses nothing.
+MARKS = 1 << 25
 #: Variants are handed over in batches of about so many.
 _BATCH = 500_000
 
@@ -203,10 +206,18 @@ def _certain(crowded: DataFrame, threshold: float) -> DataFrame:
 
 
 def _held(variants: DataFrame, label: str) -> DataFrame:
-    """Variants of more than one class, with their number of classes; those of one class are the most, and gone before pairs are made."""
-    variants = cut(variants, f"all-{label}")  # made once, read for the counts and for the classes
-    held = variants.groupBy("tab", "key").agg(F.count("*").alias("held")).where("held > 1")
-    return cut(variants.join(held, ["tab", "key"]), label)
+    """Variants of more than one class, with their number of classes; those of one class are the most, and gone before pairs are made.
+    They are counted where they meet, so that each passes one exchange and those of one class are never written."""
+    held = F.count("*").over(Window.partitionBy("tab", "key"))
+    return cut(variants.withColumn("held", held).where("held > 1"), label)
+
+
+def _marked(reps: DataFrame, ids: DataFrame, label: str) -> DataFrame:
+    """Those of ``reps`` that ``ids(tab, cid)`` has, and few others, without an exchange of ``reps``."""
+    bit = F.pmod(F.xxhash64("tab", "cid"), F.lit(MARKS))
+    at, mask = F.shiftright(bit, 6).alias("at"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(tab, cid), {MARKS}L) & 63 as int))")
+    marks = ids.select(at, mask.alias("bits")).groupBy("at").agg(F.bit_or("bits").alias("bits"))  # at most MARKS / 64 rows
+    return cut(reps.select("*", at).join(F.broadcast(marks), "at").where(F.col("bits").bitwiseAND(mask) != 0).select(*reps.columns), label)
 
 
 def similar(reps: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -228,11 +239,13 @@ def similar(reps: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         keys = crowded.select("tab", "cid", "key")
         known = keys if known is None else known.unionByName(keys)
         asked = known.join(keys.select("tab", "cid").distinct(), ["tab", "cid"], "left_semi").groupBy("tab", "cid").agg(F.collect_set("key").alias("crowded"))
+        plain = _marked(plain, keys, "asked")  # a later step asks only for classes of the one before
         again = plain.join(asked, ["tab", "cid"])
         met = _held(again.mapInPandas(lambda batches, step=step: _variants(batches, sent.value, threshold, step), schema), f"variants{step}")
         pairs = pairs.unionByName(cut(certain.unionByName(_meet(met.where(F.col("held") <= CROWD), threshold)), "pairs"))
-    pairs = pairs.distinct()
-    words = reps.select("source_table", "tab", "cid", "k1", "words")
+    pairs = cut(pairs.distinct(), "pairs")
+    ends = pairs.select("tab", F.col("a").alias("cid")).unionByName(pairs.select("tab", F.col("b").alias("cid")))
+    words = _marked(reps.select("source_table", "tab", "cid", "k1", "words"), ends, "met")
     a = words.select("source_table", "tab", F.col("cid").alias("a"), F.col("k1").alias("ka"), F.col("words").alias("wa"))
     b = words.select("tab", F.col("cid").alias("b"), F.col("k1").alias("kb"), F.col("words").alias("wb"))
     whole = pairs.join(a, ["tab", "a"]).join(b, ["tab", "b"]).where("ka <> kb")

@@ -312,6 +312,48 @@ def test_a_long_crowded_text(monkeypatch):
     assert sum((b["size"] == 3).sum() for b in more) == sum(243 - j for j in range(2, 243) for _ in range(j - 1)) and max(map(len, more)) < 5_000_000
 
 
+def shuffled(spark, run):
+    """What ``run`` returns, and the records that its stages shuffled."""
+    sc = spark.sparkContext._jsc.sc()
+    gateway = spark.sparkContext._gateway
+
+    def stages():
+        sc.listenerBus().waitUntilEmpty()
+        kept = sc.statusStore().stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList())
+        return {(s.stageId(), s.attemptId()): s.shuffleWriteRecords() for s in (kept.apply(i) for i in range(kept.size()))}
+
+    before = stages().keys()
+    out = run()
+    return out, sum(n for k, n in stages().items() if k not in before)
+
+
+def test_only_classes_that_meet_are_shuffled_again(spark, monkeypatch):
+    """Every variant passes one exchange; the words of texts without a similar one pass none but that of their counts."""
+    monkeypatch.setattr(versions, "RARE", 2)
+    monkeypatch.setattr(versions, "CROWD", 5)
+    lone = [(100 + i, [1000 + 5 * i + k for k in range(5)]) for i in range(3000)]
+    crowd = [(0, list(range(6)))] + [(i, [*range(6), 100 + i]) for i in range(1, 13)]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        reps = spark.createDataFrame([("t", c, c, w) for c, w in lone + crowd], "source_table string, cid bigint, k1 bigint, words array<bigint>")
+        got, records = shuffled(spark, lambda: rows(versions.similar(reps), "a", "b"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert len(got) == 12 and all(a == 0 for a, _ in got)
+    words, variants = 5 * len(lone), 4 * len(lone)
+    assert words + variants <= records < words + variants + len(lone)
+
+
+def test_marks_keep_every_class_asked_for(spark, monkeypatch):
+    reps = spark.range(500).select((F.col("id") % 2 - 1).alias("tab"), F.col("id").alias("cid"), F.array("id").alias("words"))
+    ids = reps.where("cid % 7 = 0").select("tab", "cid")
+    assert rows(versions._marked(reps, ids.unionByName(ids), "t"), "cid") == [(i,) for i in sorted(range(0, 500, 7), key=lambda i: str((i,)))]
+    assert versions._marked(reps, ids.where("false"), "t").count() == 0
+    monkeypatch.setattr(versions, "MARKS", 64)
+    assert {(i,) for i in range(0, 500, 7)} <= set(rows(versions._marked(reps, ids, "t"), "cid"))
+
+
 def test_versions_of_an_empty_table(spark):
     empty = spark.createDataFrame([], "source_table string, id bigint, value string")
     assert versions.version_pairs(empty).count() == 0 and versions.version_groups(empty).count() == 0
