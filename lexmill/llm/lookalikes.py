@@ -72,14 +72,15 @@ _TO["C"].update({"i": "і", "I": "І", "j": "ј", "s": "ѕ", "S": "Ѕ", "h": "һ
 
 
 def _one_alphabet(word: str) -> str:
-    """A word of several alphabets in the one it mostly has; letters without a look-alike decide first."""
+    """A word of several alphabets in the one it mostly has; letters without a look-alike decide first, and among equals
+    Cyrillic, then Latin: the order of a set is another in every process."""
     scripts = [_script(c) for c in word]
     kinds = set(scripts) - {"?"}
     if len(kinds) < 2:
         return word
     own = {k: sum(s == k and (c not in _CYRILLIC_SURE if k == "C" else c not in _LATIN_SURE if k == "L" else False) for c, s in zip(word, scripts)) for k in kinds}
     count = {k: scripts.count(k) for k in kinds}
-    to = max(kinds, key=lambda k: (own[k] > 0, own[k] + count[k], count[k], k == "C"))
+    to = max(kinds, key=lambda k: (own[k] > 0, own[k] + count[k], count[k], "GLC".index(k)))
     return "".join(_TO[to].get(c, c) if s not in (to, "?") else c for c, s in zip(word, scripts))
 
 

@@ -1,7 +1,10 @@
 """Small cases of the training-text operators, with nulls, ties, repeats, empty tables and foreign columns."""
 
+import os
 import random
 import re
+import subprocess
+import sys
 
 import numpy as np
 import pandas as pd
@@ -184,6 +187,13 @@ def test_consistent_form(text, form):
     assert lookalikes.consistent(form) == form
 
 
+def test_the_form_is_the_same_in_every_process():
+    """Words with as much of one alphabet as of another, under several seeds of string hashes."""
+    code = "from lexmill.llm.lookalikes import consistent; print(ascii([consistent(t) for t in ('\\u0391c', 'c\\u03b2', 'P\\u0391', '\\uff21\\u03b2', '\\u0391\\u0441', '\\u03b2A-\\u0439A')]))"
+    forms = {subprocess.run([sys.executable, "-c", code], env=os.environ | {"PYTHONHASHSEED": str(seed), "PYTHONPATH": os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))}, capture_output=True, text=True, check=True).stdout.strip() for seed in range(6)}
+    assert forms == {ascii(["Ac", "cb", "PA", "Ab", "\u0410\u0441", "bA-\u0439\u0410"])}
+
+
 def test_quick_check_misses_nothing(spark):
     rng = random.Random(8)
     chars = list("абвAPcе -«»№…—éйЁβΑ0\t\n") + ["​", "­", " ", "　", "̆", "Ａ", "ﬁ", "‑", "²", "ⅷ", "і"]
