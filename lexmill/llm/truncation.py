@@ -19,6 +19,9 @@ the field goes on there, in the same word or after it, so that more data does no
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -36,24 +39,40 @@ FEW = 4
 #: A whole word that makes up at most this share of the longer words that begin with it is a part of one.
 PART_SHARE = 0.01
 _LETTER = r"\p{L}"
-_TOKEN = r"\p{N}+(?:[.,:]\p{N}+)*|[\p{L}\p{M}]+|[^\s\p{L}\p{M}\p{N}]"
+#: A token where every run of digits is one 0.
+_TOKEN = r"[\p{L}\p{M}]++|0(?:[.,:]0)*+|\S"
 # Words that a stop may follow without ending the text; what they announce is missing.
 _ABBREVIATIONS = r"(?i)(?<!т\. ?)(?<![\p{L}\p{N}])(?<!\p{N}\s)(?:стр|рис|табл|разд|см|гл|ст|п|fig|sec|p|pp|vol|ch|no)\.$"
 #: Dots that stand for what is missing.
 _DOTS = "(?:\ufffd|(?<=[\\p{L}\\p{N} (,])(?:…|\\.\\.\\.))$"
+_CLOSED = r"[.!?;][\"»”')\]]*$"
+#: So many last characters show the marks above, which are shorter, as the whole text does.
+_END = 24
+#: Characters that ``cleaned`` looks for: unusual ones anywhere, and blanks and line ends at the end.
+_UNUSUAL = "‐‑¬\u00ad\u200b\u200c\u200d\u2060\ufeff"
+_BLANKS = " \t\n\x0b\f\r\x85\u00a0\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u3000"
 #: A token that begins a sentence says little about how it would end one.
 _BEGINS = ("", ".", "!", "?", ";", ":", "…")
 
 
 def cleaned(text: Column) -> Column:
     """The text with words rejoined that were broken at line ends, and no blanks at its end."""
+    # few texts have any of it, and these tests cost a fraction of the replacements
+    unusual = reduce(or_, (text.contains(c) for c in _UNUSUAL)) | F.substring(text, -1, 1).isin(*_BLANKS) | text.rlike(r"-\s")
     joined = F.regexp_replace(text, rf"(?<={_LETTER})[-‐‑¬\x{{AD}}]\s+(?=\p{{Ll}})", "")
-    return F.regexp_replace(F.regexp_replace(joined, r"[\x{AD}\x{200B}-\x{200D}\x{2060}\x{FEFF}]", ""), r"[\s\x{A0}\x{2000}-\x{200A}\x{202F}\x{3000}]+$", "")
+    clean = F.regexp_replace(F.regexp_replace(joined, r"[\x{AD}\x{200B}-\x{200D}\x{2060}\x{FEFF}]", ""), r"[\s\x{A0}\x{2000}-\x{200A}\x{202F}\x{3000}]+$", "")
+    return F.when(unusual, clean).otherwise(text)
 
 
 def _tokens(text: Column) -> Column:
-    masked = F.transform(F.regexp_extract_all(F.lower(text), F.lit(rf"({_TOKEN})"), 1), lambda t: F.regexp_replace(t, r"\p{N}+", "#"))
-    return masked
+    masked = F.regexp_replace(F.lower(text), r"\p{N}+", "0")
+    return F.transform(F.regexp_extract_all(masked, F.lit(_TOKEN), F.lit(0)), lambda t: F.replace(t, F.lit("0"), F.lit("#")))
+
+
+def _closed(clean: Column) -> Column:
+    """Whether a cleaned text ends as complete ones do."""
+    end = F.substring(clean, -_END, _END)
+    return (end.rlike(rf"{_CLOSED}|\.\p{{L}}{{2,4}}$") | clean.rlike(_CLOSED)) & ~end.rlike(_ABBREVIATIONS) & ~end.rlike(_DOTS)
 
 
 def limits(texts: DataFrame) -> DataFrame:
@@ -128,26 +147,30 @@ def truncated(texts: DataFrame) -> DataFrame:
     # how words go on, over all texts
     tokens = _tokens(F.col("clean"))
     word = r"^[\p{L}\p{M}#]"
-    grams = texts.select("field", tokens.alias("t")).where(F.size("t") > 0)
-    grams = grams.select("field", F.explode(F.transform(F.sequence(F.lit(1), F.size("t")), lambda i: F.struct(
-        F.when(i > 1, F.element_at("t", (i - 1).cast("int"))).otherwise("").alias("prev"), F.element_at("t", i.cast("int")).alias("tok"), F.try_element_at("t", (i + 1).cast("int")).alias("next")))).alias("g"))
-    grams = grams.where(F.col("g.tok").rlike(word)).select("field", "g.prev", "g.tok", F.col("g.next").isin(".", ";", "!", "?").cast("int").alias("ends"))
-    pairs = grams.where("ends is not null").groupBy("field", "prev", "tok").agg(F.count("*").alias("pair_n"), F.sum("ends").alias("pair_ends"))
+    grams = texts.select("field", tokens.alias("t"))
+    grams = grams.select("field", F.inline(F.arrays_zip(F.concat(F.array(F.lit("")), "t"), "t", F.slice("t", 2, 2**31 - 1)))).toDF("field", "prev", "tok", "next")
+    # tokens of several characters are words or numbers
+    grams = grams.where(F.col("next").isNotNull() & ((F.length("tok") > 1) | F.col("tok").rlike(word))).withColumn("ends", F.col("next").isin(".", ";", "!", "?").cast("int"))
+    pairs = grams.groupBy("field", "prev", "tok").agg(F.count("*").alias("pair_n"), F.sum("ends").alias("pair_ends"))
     pairs = cut(pairs, "pairs")
     begins = F.col("prev").isin(*_BEGINS)
     words = pairs.groupBy("field", "tok").agg(F.sum("pair_n").alias("word_n"), F.sum(F.when(~begins, F.col("pair_n")).otherwise(0)).alias("inner_n"), F.sum(F.when(~begins, F.col("pair_ends")).otherwise(0)).alias("word_ends"))
     # rows whose ending has to be looked at
     clean = F.col("clean")
-    closed = clean.rlike(r"[.!?;][\"»”')\]]*$|\.\p{L}{2,4}$") & ~clean.rlike(_ABBREVIATIONS) & ~clean.rlike(_DOTS)
     tail = F.when(F.length(clean) > 160, F.substring(clean, -160, 160)).otherwise(clean)
     size_of = {"chars": F.length("text"), "bytes": F.octet_length(F.regexp_replace("text", "\ufffd+$", "")) + F.col("text").endswith("\ufffd").cast("int")}
-    brackets = F.length(F.regexp_replace(clean, r"[^(]", "")) > F.length(F.regexp_replace(clean, r"[^)]", ""))
-    doubtful = cut(texts.where(~closed).select("field", "row_id", "source", *(v.alias(k) for k, v in size_of.items()), brackets.alias("brackets"), F.xxhash64("text").alias("h"), tail.alias("clean")), "doubtful")
-    doubtful = doubtful.withColumn("tail", _tokens(clean))
-    doubtful = doubtful.withColumn("at_word", clean.rlike(r"[\p{L}\p{M}\p{N}]$")).withColumn("tok", F.try_element_at("tail", F.lit(-1))).withColumn("prev", F.coalesce(F.try_element_at("tail", F.lit(-2)), F.lit(""))).drop("tail")
-    sizes = doubtful.select("field", "row_id", "source", F.explode(F.create_map(F.lit("chars"), "chars", F.lit("bytes"), "bytes")).alias("unit", "size"))
+    brackets = F.length(F.replace(clean, F.lit(")"), F.lit(""))) > F.length(F.replace(clean, F.lit("("), F.lit("")))
+    doubtful = texts.where(F.exists(F.array(clean), lambda c: ~_closed(c)))  # so the text is cleaned once
+    doubtful = doubtful.select("field", "row_id", "source", *(v.alias(k) for k, v in size_of.items()), brackets.alias("brackets"), F.xxhash64("text").alias("h"), tail.alias("clean"))
     capital = F.regexp_extract(clean, r"([\p{L}\p{M}]+)$", 1).rlike(r"^\p{Lu}\p{Ll}")
-    doubtful = doubtful.withColumn("suffix", F.when(capital & (F.length("tok") > 4), F.substring(F.col("tok"), -3, 3)))
+    # all that is asked of the ending, so that the text itself travels no further
+    end = F.substring(clean, -_END, _END)
+    asks = {"at_word": clean.rlike(r"[\p{L}\p{M}\p{N}]$"), "capital": capital, "quoted": clean.rlike(r"[»”)]$"), "mark": end.rlike(_DOTS), "open": F.col("brackets") | clean.rlike(r"[(\[«“„/,—–:-]$") | end.rlike(_ABBREVIATIONS)}
+    asks["code"] = clean.rlike(r"\p{N}\p{L}+$|\p{Lu}{2,}$|\p{IsLatin}\p{IsCyrillic}+$|\p{IsCyrillic}\p{IsLatin}+$")
+    doubtful = doubtful.select("field", "row_id", "source", *size_of, "h", *(v.alias(k) for k, v in asks.items()), _tokens(clean).alias("tail"))
+    doubtful = doubtful.withColumn("tok", F.try_element_at("tail", F.lit(-1))).withColumn("prev", F.coalesce(F.try_element_at("tail", F.lit(-2)), F.lit(""))).drop("tail")
+    doubtful = cut(doubtful.withColumn("suffix", F.when(F.col("capital") & (F.length("tok") > 4), F.substring(F.col("tok"), -3, 3))), "doubtful")
+    sizes = doubtful.select("field", "row_id", "source", F.explode(F.create_map(F.lit("chars"), "chars", F.lit("bytes"), "bytes")).alias("unit", "size"))
     finals = doubtful.where("at_word").groupBy("field", "prev", "tok").agg(F.countDistinct("h").alias("pair_final"), F.count("*").alias("pair_rows"))
     finals = cut(finals.join(words, ["field", "tok"], "left").join(pairs, ["field", "prev", "tok"], "left"), "finals")
     n, inner, ends, pn, pends = (F.coalesce(F.col(c), F.lit(0)) for c in ("word_n", "inner_n", "word_ends", "pair_n", "pair_ends"))
@@ -173,12 +196,10 @@ def truncated(texts: DataFrame) -> DataFrame:
     part = (n < 3) | ((pn <= longer * PART_SHARE) & (n <= word_longer * PART_SHARE))
     number = F.col("tok").startswith("#")
     at_word = F.col("at_word")
-    fragment = at_word & rare_part & ~number & part & (F.col("suffix").isNull() | (F.coalesce("suffix_share", F.lit(0.0)) < 0.004)) & ~clean.rlike(r"\p{N}\p{L}+$|\p{Lu}{2,}$|\p{IsLatin}\p{IsCyrillic}+$|\p{IsCyrillic}\p{IsLatin}+$")
+    fragment = at_word & rare_part & ~number & part & (F.col("suffix").isNull() | (F.coalesce("suffix_share", F.lit(0.0)) < 0.004)) & ~F.col("code")
     goes_on = ((pn >= 12) & (pends == 0) & (ends < inner * 0.04)) | ((pn >= 80) & (pends < pn * 0.003)) | ((inner >= 40) & (ends <= inner * 0.006) & (pends <= pn * 0.05))
-    dangling = at_word & rare & ~capital & (n >= 3) & goes_on
-    open_ = F.col("brackets") | clean.rlike(r"[(\[«“„/,—–:-]$") | clean.rlike(_ABBREVIATIONS)
-    mark = clean.rlike(_DOTS)
-    why = F.when(F.col("limit") & ~clean.rlike(r"[»”)]$"), "limit").when(mark, "mark").when(open_, "open").when(dangling, "dangling").when(fragment, "fragment")
+    dangling = at_word & rare & ~F.col("capital") & (n >= 3) & goes_on
+    why = F.when(F.col("limit") & ~F.col("quoted"), "limit").when(F.col("mark"), "mark").when(F.col("open"), "open").when(dangling, "dangling").when(fragment, "fragment")
     return doubtful.withColumn("why", why).where("why is not null").groupBy("field", "row_id").agg(F.first("source").alias("source"), F.min("why").alias("why"))
 
 
